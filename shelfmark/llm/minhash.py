@@ -201,3 +201,32 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on two-word shingles at 80 per cent."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+#: Shingles as pairs of words; a text of one word is that word and an empty second.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 1 THEN [ws[1] || chr(10)]
+    ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || chr(10) || ws[i + 1]) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), sets AS (SELECT doc_id, md5(string_agg(g, chr(11) ORDER BY g)) AS k FROM s GROUP BY 1
+), rep AS (SELECT k, min(doc_id) AS r FROM sets GROUP BY 1
+), rs AS (SELECT doc_id, g FROM s WHERE doc_id IN (SELECT r FROM rep)
+), pairs AS (
+  SELECT a.doc_id AS i, b.doc_id AS j FROM rs a JOIN rs b USING (g) WHERE a.doc_id < b.doc_id
+  GROUP BY 1, 2
+  HAVING 100 * count(*) >= 80 * ((SELECT n FROM n WHERE n.doc_id = a.doc_id) + (SELECT n FROM n WHERE n.doc_id = b.doc_id) - count(*))
+), edges AS (SELECT i, j FROM pairs UNION ALL SELECT j, i FROM pairs
+), reach AS (
+  SELECT r AS i, r AS j FROM rep
+  UNION
+  SELECT reach.i, e.j FROM reach JOIN edges e ON reach.j = e.i
+), comp AS (SELECT i, min(j) AS c FROM reach GROUP BY 1)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(comp.c, w.doc_id) AS component_id,
+       w.doc_id = coalesce(comp.c, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN sets ON sets.doc_id = w.doc_id
+LEFT JOIN rep ON rep.k = sets.k LEFT JOIN comp ON comp.i = rep.r
+"""

@@ -145,16 +145,16 @@ def estimate(pattern: np.ndarray, count: np.ndarray, rounds: int = 300) -> tuple
     belief = np.where(ill[:, None], np.hstack([np.full((len(v), 1), 0.1), 0.9 * shown / np.maximum(shown.sum(axis=1, keepdims=True), 1)]),
                       np.hstack([np.full((len(v), 1), 0.98), np.full((len(v), len(kinds)), 0.02 / len(kinds))]))
     # Pseudo-counts: good documents get good votes, and each kind its labeller's junk vote.
-    for_yes, for_no = np.full((len(kinds) + 1, k), 1.0), np.full((len(kinds) + 1, k), 1.0)
-    for_yes[0] = 9.0
+    for_yes, for_no = np.full((len(kinds) + 1, k), 8.0), np.full((len(kinds) + 1, k), 0.5)
+    for_yes[0], for_no[0] = 50.0, 0.5
     for c, j in enumerate(kinds):
-        for_no[c + 1, j] = 9.0
+        for_yes[c + 1, j], for_no[c + 1, j] = 1.0, 19.0
     share, table = np.zeros(len(kinds) + 1), np.zeros((len(kinds) + 1, k))
     start = np.array([PRIOR_GOOD, *[(1 - PRIOR_GOOD) / len(kinds)] * len(kinds)])
     for _ in range(rounds):
         weight = (belief * count[:, None]).T
         table = (weight @ yes + for_yes) / (weight @ (yes + no) + for_yes + for_no)
-        share = (weight.sum(axis=1) + 8 * start) / (count.sum() + 8)
+        share = (weight.sum(axis=1) + 40 * start) / (count.sum() + 40)
         logs = np.log(share) + yes @ np.log(table).T + no @ np.log1p(-table).T
         new = np.exp(logs - logs.max(axis=1, keepdims=True))
         new /= new.sum(axis=1, keepdims=True)
