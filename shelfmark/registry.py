@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from shelfmark.oracle_catalog import ORACLE_SQL
+from shelfmark.queries_catalog import QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
