@@ -58,7 +58,7 @@ class Codec:
         self.ranks = ranks
         self.pieces = {i: p for p, i in ranks.items()}
         self.split = regex.compile(pattern)
-        self.known: dict[str, tuple[tuple[int, ...], bytes]] = {}
+        self.known: dict[str, tuple[tuple[int, ...], bytes, bytes]] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word."""
@@ -100,19 +100,19 @@ class Codec:
                 heapq.heappush(heap, (r, p, end))
         return [self.ranks[word[i : ends[i]]] for i in range(n) if live[i]]
 
-    def word(self, word: str) -> tuple[tuple[int, ...], bytes]:
+    def word(self, word: str) -> tuple[tuple[int, ...], bytes, bytes]:
+        """A word's ids, their decimal text, and the bytes that they decode to."""
         ids = tuple(self.merge(word.encode()))
-        entry = ids, ",".join(map(str, ids)).encode()
+        entry = ids, ",".join(map(str, ids)).encode(), self.decode(ids)
         if len(word) <= LONG_WORD:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
             self.known[word] = entry
         return entry
 
-    def words(self, text: str) -> Iterator[tuple[tuple[int, ...], bytes]]:
+    def words(self, text: str) -> list[tuple[tuple[int, ...], bytes, bytes]]:
         get, new = self.known.get, self.word
-        for w in self.split.findall(text):
-            yield get(w) or new(w)
+        return [get(w) or new(w) for w in self.split.findall(text)]
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(e[0] for e in self.words(text)))
@@ -173,11 +173,11 @@ def digests(df: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             counts, ids_sha, text_sha = [], [], []
             for text in _texts(batch, "text"):
-                entries = list(codec.words(text))
-                ids = list(chain.from_iterable(e[0] for e in entries))
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(b",".join([e[1] for e in entries])).hexdigest())
-                text_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                # Every distinct word's ids are decoded once; a text's decoding joins its words'.
+                ids, numbers, decoded = zip(*codec.words(text), strict=True) if text else ((), (), ())
+                counts.append(sum(map(len, ids)))
+                ids_sha.append(hashlib.sha256(b",".join(numbers)).hexdigest())
+                text_sha.append(hashlib.sha256(b"".join(decoded)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
