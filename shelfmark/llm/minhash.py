@@ -10,15 +10,16 @@ similarity, with concentration bounds like those of t independent hashes.
 Plan. Texts with equal shingle sets are one class, represented by its smallest
 doc_id. Classes that share a band of the sketch are candidates:
 
-1. every member of a bucket is compared with the bucket's smallest member, which
-   makes as many pairs as members;
-2. links found so far are closed into components; only in buckets whose members
-   are not all in one component are pairs from different components compared.
+1. band after band (``ROUNDS`` of them at a time), a bucket's members are compared
+   with its smallest member, unless links found before have put both into one
+   component, and the components are closed again;
+2. then, only in buckets whose members are not all in one component, pairs from
+   different components are compared.
 
 So a bucket of many copies costs a pass over its members, and no pair that could
-join two components is left out. Pairs are first screened by one bit of each
+join two components is left out. Pairs are first screened by four bits of each
 coordinate (a pair at the threshold fails that screen with a probability under
-1e-10) and then verified on the full shingle sets. With 51 bands of 5
+1e-6) and then verified on the full shingle sets. With 51 bands of 5
 coordinates, a pair of similarity 0.8 shares no band with probability 2e-9.
 
 Cases: a text without words (or null) has an empty set and links with nothing;
@@ -44,8 +45,11 @@ from shelfmark.plans.shared import shared_table
 
 COORDINATES = 256
 BANDS, BAND_ROWS = 51, 5
-#: Differing bits, of 256, beyond which a pair is not verified: similarity 0.5 is expected to have 64.
-MAX_BITS = 64
+#: First bands of the rounds in which bucket heads are compared.
+ROUNDS = (0, 2, 10)
+#: Coordinates, of 256, whose four bits differ, beyond which a pair is not verified: at the
+#: threshold 48 are expected with a standard deviation of 6.2; this is five of them more.
+MAX_APART = 80
 PERCENT = 80
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
@@ -82,9 +86,9 @@ def bands_of(sketch: np.ndarray) -> np.ndarray:
 
 
 def bits_of(sketch: np.ndarray) -> np.ndarray:
-    """(n, 4) words of one bit of each of 256 coordinates."""
-    bits = (mix64(sketch) >> _U(63)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
+    """(n, 16) words of four bits of each of 256 coordinates."""
+    four = (mix64(sketch) >> _U(60)).astype(np.uint8)
+    return np.ascontiguousarray(four[:, 0::2] << 4 | four[:, 1::2]).view(np.int64)
 
 
 def _docs_at_a_time(batch: pa.RecordBatch, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
@@ -109,7 +113,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch = fast_sketch(sets, at)
             keys = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(at)), pa.array(keys, pa.binary()), _longs(bits_of(sketch), 4), _longs(bands_of(sketch), BANDS)],
+                [batch.column("doc_id"), pa.array(np.diff(at)), pa.array(keys, pa.binary()), _longs(bits_of(sketch), 16), _longs(bands_of(sketch), BANDS)],
                 ["doc_id", "n_shingles", "set_key", "bits", "bands"],
             )
 
@@ -123,14 +127,22 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.binary()), values], ["rep", "set_key", "shingles"])
 
 
-def _bits_apart(a: str, b: str):
-    return reduce(lambda x, y: x + y, [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(4)])
+def _apart(a: str, b: str):
+    """How many coordinates' four bits differ."""
+
+    def word(i: int):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return reduce(lambda x, y: x + y, [word(i) for i in range(16)])
 
 
 def _possible(pairs: DataFrame) -> DataFrame:
     """Pairs that size and sketch bits leave possible."""
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return pairs.filter((small * 100 >= large * PERCENT) & (_bits_apart("bits_a", "bits_b") <= MAX_BITS))
+    return pairs.filter((small * 100 >= large * PERCENT) & (_apart("bits_a", "bits_b") <= MAX_APART))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -154,7 +166,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands")),
         "classes",
     )
-    in_band = classes.select("rep", F.explode("bands").alias("band"))
+    in_band = classes.select("rep", F.posexplode("bands").alias("no", "band"))
     heads = shared_table(
         in_band.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("members")).filter("members > 1").drop("members"), "buckets"
     )
@@ -162,15 +174,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     about = classes.select("rep", "n", "bits")
     a = about.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     b = about.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-    to_head = members.filter("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    near_head = shared_table(_possible(to_head.join(a, "a").join(b, "b")).select("a", "b"), "head_pairs")
     candidates = shared_table(members.select("rep").distinct().join(classes.select("rep", "set_key"), "rep"), "candidates")
     texts = docs.join(candidates.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
     built = texts.mapInArrow(_with_sets, "rep long, set_key binary, shingles array<long>")
     # A doc_id may come with several texts; the representative's is the one with its class's key.
     sets = shared_table(built.join(candidates, ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]), "shingle_sets")
-    linked = shared_table(_verified(near_head, sets), "head_links")
-    parts = shared_table(connected_components(linked), "parts")
+    linked = tested = parts = None
+    for first, last in zip(ROUNDS, (*ROUNDS[1:], BANDS), strict=True):
+        to_head = members.filter((F.col("no") >= first) & (F.col("no") < last) & (F.col("rep") != F.col("head"))).select(F.col("head").alias("a"), F.col("rep").alias("b"))
+        if parts is not None:
+            p, q = (parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in "ab")
+            to_head = to_head.join(p, "a", "left").join(q, "b", "left").filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+        near = shared_table(_possible(to_head.distinct().join(a, "a").join(b, "b")).select("a", "b"), "head_pairs")
+        found = shared_table(_verified(near, sets), "head_links")
+        linked = found if linked is None else linked.unionByName(found)
+        tested = near if tested is None else tested.unionByName(near)
+        parts = shared_table(connected_components(linked), "parts")
     placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     placed = shared_table(placed.select("band", "rep", F.coalesce("component", "rep").alias("part")), "placed")
     mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("band")
@@ -179,7 +198,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     x = spread.select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     y = spread.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     across = _possible(x.join(y, "band").filter("part_a <> part_b and a < b")).select("a", "b").distinct()
-    across = shared_table(across.join(near_head, ["a", "b"], "left_anti"), "across_pairs")
+    across = shared_table(across.join(tested.distinct(), ["a", "b"], "left_anti"), "across_pairs")
     links = linked.unionByName(_verified(across, sets))
     parts = shared_table(connected_components(links), "components")
     of_class = classes.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
