@@ -23,9 +23,10 @@ coordinate (a pair at the threshold fails that screen with a probability under
 coordinates, a pair of similarity 0.8 shares no band with probability 2e-9.
 
 Cases: a text without words (or null) has an empty set and links with nothing;
-a row with a null doc_id gets its class's component and is never kept; repeated
-rows have equal results; an empty table gives an empty result; extra columns are
-ignored by the query and pass through ``deduplicate``.
+a row with a null doc_id gets the component of a class with equal shingles, if there
+is one, and is never marked kept, but ``deduplicate`` lets such rows stay, once a
+text; repeated rows have equal results; an empty table gives an empty result; extra
+columns are ignored by the query and pass through ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -213,6 +214,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: the smallest doc_id of each group, once, and every text without words."""
     stay = near_duplicates(docs).filter("kept").select("doc_id").distinct()
     whole = docs.join(shared_table(stay, "stay"), "doc_id", "left_semi")
+    whole = whole.unionByName(docs.filter("doc_id is null"))
     return whole.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
 
 
