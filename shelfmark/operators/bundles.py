@@ -100,7 +100,12 @@ def probe(df: DataFrame, extra_terms: tuple[str, ...] = (), fold: bool = True) -
     by_key = lambda k: F.try_element_at(F.filter(F.col("spec_entries"), lambda e: e["key"] == k), F.lit(-1))["value"]
     df = df.withColumn("_t", text)
     df = df.withColumn("_hay", F.concat_ws(" ", F.col("_t"), *[F.nullif(T.probe_clean(by_key(k), fold), F.lit("")) for k in CONTENT_SPECS]))
-    hits = lambda c, named: F.filter(F.array(*[F.when(c.rlike(p), F.lit(n)) for n, p in sorted(named.items())]), lambda x: x.isNotNull())
+
+    def hits(c: Column, named: dict[str, str]) -> Column:
+        # The text is bound as a lambda's variable: pushed-down predicates then hold it once, not once a term.
+        found = lambda x: F.filter(F.array(*[F.when(x.rlike(p), F.lit(n)) for n, p in sorted(named.items())]), lambda h: h.isNotNull())
+        return F.flatten(F.transform(F.array(c), found))
+
     lexicon = {t: _whole_word(t) for t in {*PROBE_LEXICON, *extra_terms}}
 
     def counted(pattern: str) -> Column:

@@ -11,8 +11,13 @@ TOKEN = r"(?U)\b\w\w+\b"
 def terms(c: Column) -> Column:
     """Lower-case one- and two-grams of tokens of two characters or more."""
     words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(0))
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.concat(words, F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<string>")))
+
+    def grams(w: Column) -> Column:
+        pairs = F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda x, y: F.concat(x, F.lit(" "), y))
+        return F.concat(w, F.filter(pairs, lambda p: p.isNotNull()))
+
+    # Bound as a lambda's variable, the words are extracted once.
+    return F.flatten(F.transform(F.array(words), grams))
 
 
 def tfidf(df: DataFrame, row: str, text: str, min_df: int = 3, max_df: float = 0.95) -> DataFrame:

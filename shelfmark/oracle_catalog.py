@@ -183,9 +183,11 @@ B = rf"""{M}, d0 AS (
 R = rf"""{E}, t AS (
   SELECT *, trim({_squeeze("lower(trim(" + _squeeze('name') + ") || ' ' || trim(" + _squeeze('brief_description') + "))")}) AS t FROM e
 ), h AS (
-  SELECT *, list_filter(list_transform([['&', '&'], ['+', '\w\s*\+\s*\w'], ['combo', '\bcombo\b'], ['includes?', '\bincludes?\b'], ['kit', '\bkit\b'], ['package', '\bpackage\b'],
-      ['set', '\bset\b'], ['undle', '\bbundle\b'], ['w\/', '\bw/\b'], ['with', '\bwith\b']], lambda p: CASE WHEN regexp_matches(t, p[2]) THEN p[1] END), lambda x: x IS NOT NULL) AS trig,
-    list_sort(list_filter({_PROBE_LEX}, lambda a: regexp_matches(t, '\b' || a || '\b'))) AS acc,
+  SELECT *, list_filter([CASE WHEN contains(t, '&') THEN '&' END, CASE WHEN regexp_matches(t, '\w\s*\+\s*\w') THEN '+' END, CASE WHEN regexp_matches(t, '\bcombo\b') THEN 'combo' END,
+      CASE WHEN regexp_matches(t, '\bincludes?\b') THEN 'includes?' END, CASE WHEN regexp_matches(t, '\bkit\b') THEN 'kit' END, CASE WHEN regexp_matches(t, '\bpackage\b') THEN 'package' END,
+      CASE WHEN regexp_matches(t, '\bset\b') THEN 'set' END, CASE WHEN regexp_matches(t, '\bbundle\b') THEN 'undle' END, CASE WHEN regexp_matches(t, '\bw/\b') THEN 'w\/' END,
+      CASE WHEN regexp_matches(t, '\bwith\b') THEN 'with' END], lambda x: x IS NOT NULL) AS trig,
+    list_sort(list_filter({_PROBE_LEX}, lambda a: contains(' ' || regexp_replace(t, '[^a-z0-9_]', ' ', 'g') || ' ', ' ' || a || ' '))) AS acc,
     len(regexp_extract_all(t, '\b(\d+)[-\s]?(?:pack|pk)\b')) + len(regexp_extract_all(t, '\bset\s+of\s+(\d+)\b')) + len(regexp_extract_all(t, '\bx\s?(\d+)\b')) AS packs FROM t
 ), pr AS (SELECT *, CAST(2.0 * len(trig) + least(len(acc), 6) + 2.0 * packs AS DOUBLE) AS bundle_score FROM h)"""
 
