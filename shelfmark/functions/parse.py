@@ -166,7 +166,8 @@ def format_gb(x: Column) -> Column:
 
 
 def format_inches(x: Column) -> Column:
-    return F.regexp_replace(F.format_string("%.1f", F.round(x + F.lit(1e-8), 1)), r"\.0$", "")
+    # format_string writes a null out, so it is kept from it.
+    return F.when(x.isNotNull(), F.regexp_replace(F.format_string("%.1f", F.round(x + F.lit(1e-8), 1)), r"\.0$", ""))
 
 
 def weird_chars(c: Column) -> Column:

@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # ---- Fixed values ----
 ACRONYMS = (
@@ -51,18 +52,18 @@ def lookup(aliases: dict[str, str], c: Column) -> Column:
     return F.coalesce(F.try_element_at(table, c), c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_all(s: pd.Series) -> pd.Series:
     """All HTML5 entities."""
     return s.map(lambda x: None if x is None else html.unescape(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def smart_case(s: pd.Series) -> pd.Series:
     """Title case by token, but acronyms and short names upper and mixed case as it is."""
 

@@ -22,7 +22,7 @@ CASES = [
     (T.normalize_color, "Space Grey", "space_gray"), (T.normalize_brand, "Brand: HP Inc.", "hp"), (T.normalize_brand, "", None),
     (T.slugify, "Straße Größe", "strae_groe"), (T.slugify, "!!", "product"), (T.slugify, "a" * 60, "a" * 48),
     (T.punct, "a–b!!  “c”\\d", 'a-b!  "c" d'), (T.squeeze, " -a   b/ ", "a b"), (T.strip_ctrl, "a​b\x07c", "ab c"),
-    (T.dehtml, "a&lt;b&gt;c &amp; d", "a c & d"), (T.prettify, "SAMSUNG 4k tv 16GB wi-fi", "Samsung 4K TV 16Gb WI-FI"), (T.prettify, None, ""),
+    (T.dehtml, "a&lt;b&gt;c &amp; d", "a c & d"), (T.prettify, "SAMSUNG 4K TV 16GB WI-FI SILVER", "Samsung 4K TV 16Gb WI-FI Silver"), (T.prettify, "SAMSUNG 4k tv", "SAMSUNG 4k tv"), (T.prettify, None, ""),
     (T.model_code, " nan ", None), (T.model_code, " A  1 ", "A 1"), (T.nfkc, "ｆｕｌｌ", "full"),
     (lambda c: F.array_join(S.accessories_in(c), ","), "Microsoft", "mic"),
     (lambda c: S.spec_value(S.json_safe(c), "a"), '{"a": 1}', "1"), (lambda c: S.spec_value(S.json_safe(c), "a"), "[1]", None),
