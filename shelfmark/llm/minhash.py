@@ -47,7 +47,7 @@ from shelfmark.plans.shared import shared_table
 COORDINATES = 256
 BANDS, BAND_ROWS = 51, 5
 #: First bands of the rounds in which bucket heads are compared.
-ROUNDS = (0, 2, 10)
+ROUNDS = (0, 3)
 #: Coordinates, of 256, whose four bits differ, beyond which a pair is not verified: at the
 #: threshold 48 are expected with a standard deviation of 6.2; this is five of them more.
 MAX_APART = 80
