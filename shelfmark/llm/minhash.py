@@ -14,13 +14,16 @@ doc_id. Classes that share a band of the sketch are candidates:
    with its smallest member, unless links found before have put both into one
    component, and the components are closed again;
 2. then, only in buckets whose members are not all in one component, pairs from
-   different components are compared.
+   different components are compared: as rows in buckets of up to ``FEW`` members,
+   and tile against tile inside a task in larger ones, where only links leave it.
 
 So a bucket of many copies costs a pass over its members, and no pair that could
 join two components is left out. Pairs are first screened by four bits of each
 coordinate (a pair at the threshold fails that screen with a probability under
 1e-6) and then verified on the full shingle sets. With 51 bands of 5
 coordinates, a pair of similarity 0.8 shares no band with probability 2e-9.
+Members of one bucket that are all just under the threshold cost work, though not
+rows, in the square of their number: each pair of them has to be ruled out.
 
 Cases: a text without words (or null) has an empty set and links with nothing;
 a row with a null doc_id gets the component of a class with equal shingles, if there
@@ -52,6 +55,12 @@ ROUNDS = (0, 3)
 #: threshold 48 are expected with a standard deviation of 6.2; this is five of them more.
 MAX_APART = 80
 PERCENT = 80
+#: Members of a bucket up to which its pairs are rows.
+FEW = 16
+#: Members, and shingles of all their sets, in a tile of a larger bucket.
+TILE, TILE_SHINGLES = 512, 1 << 21
+#: Columns of a tile product that are dense at once.
+COLUMNS = 2048
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -156,6 +165,96 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.filter(F.col("both") * 100 >= union * PERCENT).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
+def _tile_pairs(table: pa.Table) -> pa.Table:
+    """The pairs of one or two tiles that parts, sizes and sketch bits leave possible and no earlier band has met."""
+    band, i, j = (table.column(c)[0].as_py() for c in ("band", "i", "j"))
+    no, tile = table.column("no")[0].as_py(), table.column("tile").to_numpy()
+    rep, part, n = (table.column(c).to_numpy() for c in ("rep", "part", "n"))
+    bits, bands = (table.column(c).combine_chunks().flatten().to_numpy().reshape(len(rep), w) for c, w in (("bits", 16), ("bands", BANDS)))
+    x, y = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+    small, large = np.minimum.outer(n[x], n[y]), np.maximum.outer(n[x], n[y])
+    open_ = (part[x][:, None] != part[y]) & (small * 100 >= large * PERCENT)
+    if i == j:
+        open_ &= rep[x][:, None] < rep[y]
+    for k in range(no):
+        open_ &= bands[x, k][:, None] != bands[y, k]
+    a, b = np.nonzero(open_)
+    apart = np.zeros(len(a), np.int64)
+    for k in range(16):
+        w = (bits[x[a], k] ^ bits[y[b], k]).view(_U)
+        w |= w >> _U(1)
+        w |= w >> _U(2)
+        apart += np.bitwise_count(w & _U(0x1111111111111111))
+    near = apart <= MAX_APART
+    a, b = rep[x[a[near]]], rep[y[b[near]]]
+    rows = [{"band": band, "i": i, "j": j, "a": a, "b": b}] if len(a) else []
+    return pa.Table.from_pylist(rows, _TILED)
+
+
+_TILED = pa.schema([("band", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets a[k] and b[k], exact; ``left`` and ``right`` are the distinct a and b."""
+    if len(a) * 64 < len(left) * len(right):
+        return np.array([len(np.intersect1d(sets[p], sets[q], assume_unique=True)) for p, q in zip(a, b, strict=True)], np.int64)
+    values, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = uses[column] > 1
+    column, owner = (np.cumsum(uses > 1) - 1)[column[shared]], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    total = np.zeros((len(left), len(right)), np.int64)
+    width = int((uses > 1).sum())
+    for first in range(0, width, COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+        dense = np.zeros((len(sets), COLUMNS), np.float32)
+        dense[owner[lo:hi], column[lo:hi] - first] = 1
+        total += (dense[left] @ dense[right].T).astype(np.int64)
+    return total[np.searchsorted(left, a), np.searchsorted(right, b)]
+
+
+def _tile_links(pairs: pa.Table, members: pa.Table) -> pa.Table:
+    """The pairs of a tile whose whole shingle sets reach the threshold."""
+    reps = members.column("rep").to_numpy()
+    order = np.argsort(reps)
+    lists = members.column("shingles").combine_chunks()
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    sets = [flat[at[k] : at[k + 1]] for k in order]
+    reps = reps[order]
+    a, b = (np.searchsorted(reps, pairs.column(c)[0].values.to_numpy()) for c in "ab")
+    both = _common(sets, np.unique(a), np.unique(b), a, b)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    linked = both * 100 >= (sizes[a] + sizes[b] - both) * PERCENT
+    return pa.table({"src": reps[a[linked]], "dst": reps[b[linked]]})
+
+
+def _tiled_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between parts inside large buckets, of members(band, no, rep, part, n, bits, bands, tiles)."""
+    tiled = members.withColumn("tile", F.pmod(F.xxhash64("rep", "band"), "tiles"))
+    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    tiled = tiled.select("band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "no", "tile", "rep", "part", "n", "bits", "bands")
+    key = ["band", "i", "j"]
+    pairs = shared_table(tiled.groupBy(*key).applyInArrow(_tile_pairs, "band long, i long, j long, a array<long>, b array<long>"), "tile_pairs")
+    of = [f"of_{k}" for k in key]
+    needed = pairs.select(*(F.col(k).alias(o) for k, o in zip(key, of, strict=True)), F.explode(F.array_distinct(F.concat("a", "b"))).alias("rep"))
+    needed = needed.join(sets.select("rep", "shingles"), "rep")
+    return pairs.groupBy(*key).cogroup(needed.groupBy(*of)).applyInArrow(_tile_links, "src long, dst long")
+
+
+def _with_links(parts: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links``; only the graph of earlier components and new links is closed."""
+    if parts is None:
+        return shared_table(connected_components(links), "parts")
+    p, q = (parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in ("src", "dst"))
+    between = links.join(p, "src", "left").join(q, "dst", "left")
+    between = between.select(F.coalesce("part_src", "src").alias("src"), F.coalesce("part_dst", "dst").alias("dst"))
+    closed = shared_table(connected_components(between), "closed")
+    moved = closed.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    old = parts.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    return shared_table(old.unionByName(closed.join(parts, "node", "left_anti")), "parts")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_key, component_id, kept) per row of docs(doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -167,7 +266,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands")),
         "classes",
     )
-    in_band = classes.select("rep", F.posexplode("bands").alias("no", "band"))
+    in_band = classes.select("rep", "n", F.posexplode("bands").alias("no", "band"))
     heads = shared_table(
         in_band.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("members")).filter("members > 1").drop("members"), "buckets"
     )
@@ -180,7 +279,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     built = texts.mapInArrow(_with_sets, "rep long, set_key binary, shingles array<long>")
     # A doc_id may come with several texts; the representative's is the one with its class's key.
     sets = shared_table(built.join(candidates, ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]), "shingle_sets")
-    linked = tested = parts = None
+    tested = parts = None
     for first, last in zip(ROUNDS, (*ROUNDS[1:], BANDS), strict=True):
         to_head = members.filter((F.col("no") >= first) & (F.col("no") < last) & (F.col("rep") != F.col("head"))).select(F.col("head").alias("a"), F.col("rep").alias("b"))
         if parts is not None:
@@ -188,20 +287,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             to_head = to_head.join(p, "a", "left").join(q, "b", "left").filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
         near = shared_table(_possible(to_head.distinct().join(a, "a").join(b, "b")).select("a", "b"), "head_pairs")
         found = shared_table(_verified(near, sets), "head_links")
-        linked = found if linked is None else linked.unionByName(found)
         tested = near if tested is None else tested.unionByName(near)
-        parts = shared_table(connected_components(linked), "parts")
+        parts = _with_links(parts, found)
     placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = shared_table(placed.select("band", "rep", F.coalesce("component", "rep").alias("part")), "placed")
-    mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("band")
-    mixed = shared_table(mixed, "mixed_buckets")
-    spread = shared_table(placed.join(mixed, "band").join(about, "rep"), "spread")
-    x = spread.select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
-    y = spread.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    placed = shared_table(placed.select("band", "no", "rep", "n", F.coalesce("component", "rep").alias("part")), "placed")
+    mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    tiles = F.ceil(F.greatest(F.col("members") / TILE, F.col("shingles") / TILE_SHINGLES))
+    mixed = shared_table(mixed.filter("p0 <> p1").select("band", "members", tiles.alias("tiles")), "mixed_buckets")
+    few = placed.join(mixed.filter(F.col("members") <= FEW).select("band"), "band").join(about.select("rep", "bits"), "rep")
+    few = shared_table(few, "few")
+    x = few.select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    y = few.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     across = _possible(x.join(y, "band").filter("part_a <> part_b and a < b")).select("a", "b").distinct()
     across = shared_table(across.join(tested.distinct(), ["a", "b"], "left_anti"), "across_pairs")
-    links = linked.unionByName(_verified(across, sets))
-    parts = shared_table(connected_components(links), "components")
+    many = placed.join(mixed.filter(F.col("members") > FEW).select("band", "tiles"), "band").join(classes.select("rep", "bits", "bands"), "rep")
+    parts = _with_links(parts, _verified(across, sets).unionByName(_tiled_links(many, sets)))
     of_class = classes.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = shared_table(of_class.select("set_key", F.coalesce("component", "rep").alias("of_class")), "class_components")
     rows = sketched.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")

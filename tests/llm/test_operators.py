@@ -211,15 +211,8 @@ def shingles(text):
     return set(zip(w, w[1:], strict=False)) if len(w) > 1 else {tuple(w)} if w else set()
 
 
-def test_minhash(spark, docs):
-    r = random.Random(8)
-    seedling = prose(77, 120).split()
-    rows = list(docs)
-    for i in range(80):
-        copy = list(seedling)
-        for _ in range(r.randrange(8)):
-            copy[r.randrange(len(copy))] = r.choice(WORDS) + str(r.randrange(50))
-        rows.append((1000 + i, " ".join(copy), "a"))
+def expect_components(spark, rows):
+    """near_duplicates of ``rows``, held against all pairs."""
     got = minhash.near_duplicates(table(spark, rows)).collect()
     sets = [(i, shingles(t)) for i, t, _ in rows]
     low = list(range(len(sets)))
@@ -243,12 +236,46 @@ def test_minhash(spark, docs):
         c = min(members[root(k)], default=None) if s else i
         want[i, len(s), c, i is not None and i == c] += 1
     assert collections.Counter((g.doc_id, g.n_shingles, g.component_id, g.kept) for g in got) == want
+    return got
+
+
+def copies(n, words, edits, first=1000):
+    r = random.Random(8)
+    seedling = [f"w{r.randrange(10**6)}" for _ in range(words)]
+    rows = []
+    for i in range(n):
+        copy = list(seedling)
+        for _ in range(r.randrange(*edits)):
+            copy[r.randrange(words)] = f"w{r.randrange(10**6)}"
+        rows.append((first + i, " ".join(copy), "a"))
+    return rows
+
+
+def test_minhash(spark, docs):
+    rows = docs + copies(80, 120, (0, 8))
+    got = expect_components(spark, rows)
     kept = minhash.deduplicate(table(spark, rows))
     ids = [x.doc_id for x in kept.select("doc_id").collect()]
     assert sorted(i for i in ids if i is not None) == sorted({g.doc_id for g in got if g.kept}) and None in ids
     assert minhash.near_duplicates(table(spark, rows).limit(0)).count() == 0
 
 
+def test_minhash_copies_about_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 16)  # several tiles a bucket
+    got = expect_components(spark, copies(150, 200, (4, 16)))
+    assert 1 < len({g.component_id for g in got}) < 150
+
+
+def test_common_counts_by_either_way(monkeypatch):
+    r = np.random.default_rng(4)
+    sets = [np.unique(r.integers(0, 90, 60)) for _ in range(24)]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(9), np.arange(9, 24)))
+    want = [len(np.intersect1d(sets[p], sets[q])) for p, q in zip(a, b)]
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
+    assert minhash._common(sets, np.unique(a), np.unique(b), a, b).tolist() == want
+    assert minhash._common(sets, np.unique(a), np.unique(b), a[:2], b[:2]).tolist() == want[:2]
+
+
 def test_sketch_estimates_similarity():
     r = np.random.default_rng(1)
     items = r.integers(0, 2**63, 3000).astype(np.uint64)
