@@ -1,5 +1,7 @@
 """Near-duplicates by fast similarity sketches, banding and exact verification.
 
+Shingles are of two words in ``op5_minhash`` and of five in the pipeline.
+
 The sketch is that of Dahlgaard, Knudsen and Thorup, "Fast Similarity Sketching"
 (2017): in each round every shingle is hashed into one of t bins with a value,
 bins keep the least value of the first round that reaches them, and after t such
@@ -116,10 +118,10 @@ def _longs(values: np.ndarray, width: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width, dtype=np.int32)), flat)
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in _docs_at_a_time(whole):
-            sets, at = shingle_sets(*batch_bytes(batch.column("text")))
+            sets, at = shingle_sets(*batch_bytes(batch.column("text")), width)
             sketch = fast_sketch(sets, at)
             keys = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -128,10 +130,10 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in _docs_at_a_time(whole):
-            sets, at = shingle_sets(*batch_bytes(batch.column("text")))
+            sets, at = shingle_sets(*batch_bytes(batch.column("text")), width)
             keys = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
             values = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.binary()), values], ["rep", "set_key", "shingles"])
@@ -255,11 +257,11 @@ def _with_links(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     return shared_table(old.unionByName(closed.join(parts, "node", "left_anti")), "parts")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, component_id, kept) per row of docs(doc_id, text)."""
+def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
+    """(doc_id, n_shingles, set_key, component_id, kept) per row of docs(doc_id, text), on shingles of ``width`` words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = shared_table(
-        docs.mapInArrow(_sketched, "doc_id long, n_shingles long, set_key binary, bits array<long>, bands array<long>"), "sketches"
+        docs.mapInArrow(lambda batches: _sketched(batches, width), "doc_id long, n_shingles long, set_key binary, bits array<long>, bands array<long>"), "sketches"
     )
     classes = shared_table(
         sketched.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key")
@@ -276,7 +278,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     b = about.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     candidates = shared_table(members.select("rep").distinct().join(classes.select("rep", "set_key"), "rep"), "candidates")
     texts = docs.join(candidates.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    built = texts.mapInArrow(_with_sets, "rep long, set_key binary, shingles array<long>")
+    built = texts.mapInArrow(lambda batches: _with_sets(batches, width), "rep long, set_key binary, shingles array<long>")
     # A doc_id may come with several texts; the representative's is the one with its class's key.
     sets = shared_table(built.join(candidates, ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]), "shingle_sets")
     tested = parts = None
@@ -310,9 +312,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "set_key", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, width: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay: the smallest doc_id of each group, once, and every text without words."""
-    stay = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    stay = near_duplicates(docs, width).filter("kept").select("doc_id").distinct()
     whole = docs.join(shared_table(stay, "stay"), "doc_id", "left_semi")
     whole = whole.unionByName(docs.filter("doc_id is null"))
     return whole.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
@@ -321,7 +323,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on two-word shingles at 80 per cent."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+    return near_duplicates(docs, width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 #: Shingles as pairs of words; a text of one word is that word and an empty second.
