@@ -7,9 +7,11 @@ the entity's information content IC(c) = -log2 p(c),
 
     disclosure(t, c) = PMI(t, c) / IC(c)
 
-is 1 if every document with t has c, and 0 if they are independent. A term
-discloses c if that is at least ``DISCLOSURE`` and if at least ``MIN_CONTEXTS``
-different surroundings of c show it, so that copies of one passage count once.
+is 1 if every document with t has c, and 0 if they are independent. Both are
+counted over whole documents, however far apart they stand. A term discloses c
+if that is at least ``DISCLOSURE`` and if at least ``MIN_CONTEXTS`` different
+surroundings of c show it, so that copies of one passage count once: those
+that have the term in them, and one of every document that has both.
 A disclosing term is generalised to its class (its first letters) where the class
 discloses less than the threshold, else it is removed; either way its
 occurrences become spans in every document, next to the pattern spans.
@@ -37,7 +39,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 HINTS = {"email": "@", "phone": "+"}
 
-#: Letters of context on either side of an entity.
+#: Letters on either side of an entity that tell its surroundings apart.
 CONTEXT = 100
 TERM = r"\p{L}[\p{L}\p{M}\p{N}]{2,63}+"
 DISCLOSURE = 0.9
@@ -140,14 +142,13 @@ def disclosing_terms(df: DataFrame, based: DataFrame, text: str = "text", doc_id
     met = shared_table(mentions(based, text, doc_id), "pii_mentions")
     n = df.count()
     n_c = met.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    pairs = met.select("entity", "key", "context", F.explode("terms").alias("term"))
-    # Two steps of distinct counts, so that no task holds a hot pair's documents.
-    by_context = pairs.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
-    by_context = shared_table(by_context.filter(F.col("contexts") >= min_contexts).drop("contexts"), "pii_pairs")
-    counted = (
-        pairs.join(by_context, ["entity", "term"]).select("entity", "term", "key").distinct()
-        .groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
-    )
+    # Without that many surroundings of its own, no term can show an entity in them.
+    several = met.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts"))
+    met = met.join(shared_table(several.filter(F.col("contexts") >= min_contexts).select("entity"), "pii_entities"), "entity", "left_semi")
+    held = shared_table(met.groupBy("entity", "key").agg(F.min("context").alias("context")), "pii_held")
+    of_document = df.select(_row_key(doc_id, text).alias("key"), F.col(text).alias("text")).join(held.select("key").distinct(), "key", "left_semi")
+    pairs = held.join(of_document.select("key", F.explode(_terms(F.col("text"))).alias("term")).distinct(), "key")
+    counted = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
     words = df.select(F.explode(_terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     words = shared_table(words, "pii_terms")
     klass = F.substring("term", 1, CLASS_LETTERS)
@@ -162,6 +163,12 @@ def disclosing_terms(df: DataFrame, based: DataFrame, text: str = "text", doc_id
         .withColumn("class_disclosure", (F.log2("n_ct") + log_n - F.log2("n_c") - F.log2("n_class")) / F.col("ic"))
         .filter(F.col("disclosure") >= threshold)
     )
+    scored = shared_table(scored.select("entity", "term", "disclosure", "class_disclosure"), "pii_scored")
+    near = met.select("entity", F.explode("terms").alias("term"), "context")
+    shown = pairs.select("entity", "term", "context").unionByName(near).join(scored.select("entity", "term"), ["entity", "term"], "left_semi")
+    # Two steps of distinct counts, so that no task holds a hot pair's documents.
+    by_context = shown.distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= min_contexts)
+    scored = scored.join(by_context.drop("contexts"), ["entity", "term"], "left_semi")
     return shared_table(
         scored.groupBy("term").agg(F.max("disclosure").alias("disclosure"), F.max("class_disclosure").alias("_c"))
         .select("term", "disclosure", F.when((F.col("_c") < threshold) & (F.length("term") > CLASS_LETTERS),

@@ -1,9 +1,10 @@
 """Cases in which an operator once did less than the whole job."""
 
 import collections
+import random
 
 import corpus_pipeline
-from shelfmark.llm import minhash
+from shelfmark.llm import minhash, pii
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -37,3 +38,17 @@ def test_minhash_stage_takes_five_words(spark):
     assert 2 not in {r.doc_id for r in two}
     sizes = collections.Counter((r.doc_id, r.n_shingles) for r in minhash.near_duplicates(table(spark, rows), 5).collect())
     assert sizes == collections.Counter((i, len(s)) for i, s in sets.items())
+
+
+def test_terms_far_from_their_entity_disclose_it(spark):
+    r = random.Random(4)
+    fill = lambda n: " ".join(r.choice("the of and red green blue lamp table chair over under with".split()) for _ in range(n))
+    rows = [(i, f"Quillfeather {fill(120)} ask {fill(5)} q@mail.org {fill(5)}") for i in range(12)]
+    # Half of the documents have the name next to the address: counted there only, it would fall short.
+    rows += [(20 + i, f"{fill(6)} Brackenmoor {fill(3)} b@mail.org {fill(9)}" if i % 2 else f"Brackenmoor {fill(120)} b@mail.org {fill(9)}") for i in range(12)]
+    # Copies of one passage are one surrounding, however often they come.
+    rows += [(40 + i, f"Onlycopies {fill(120)} write to the one desk {'x ' * 60} c@mail.org {'y ' * 60}") for i in range(12)]
+    rows += [(60 + i, fill(60)) for i in range(60)] + [(200, "Quillfeather alone"), (201, "brackenmoor alone"), (202, "onlycopies alone")]
+    texts = {x.doc_id: x.text for x in pii.sanitise(table(spark, rows)).collect()}
+    assert "uillfeather" not in texts[200].lower() and "rackenmoor" not in texts[201].lower()
+    assert texts[202] == "onlycopies alone" and texts[100] == dict(rows)[100]
