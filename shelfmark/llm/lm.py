@@ -43,7 +43,6 @@ from shelfmark.llm.bpe import default_vocabulary, load_ranks
 from shelfmark.llm.textbytes import mix64
 from shelfmark.plans.shared import shared_table
 
-LONGEST_PIECE = 10
 ROUNDS = 2
 DISCOUNT = 0.75
 CONCENTRATION = 1000.0
@@ -77,12 +76,13 @@ class Lattice:
 
     def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(places of words, piece at [word, end, length], its log weight) for words of one byte length at a time."""
-        tables, longest = self._tables(), max(map(len, self.pieces))
+        tables, longest_piece = self._tables(), max(map(len, self.pieces))
         by: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by.setdefault(len(w) + 1, []).append(i)
         weights = np.append(self.log_weights, -np.inf)
         for n, places in by.items():
+            longest = min(longest_piece, n)  # no longer piece is in these words
             at_once = max(1, (1 << 19) // (n * longest))
             for a in range(0, len(places), at_once):
                 some = places[a : a + at_once]
@@ -91,7 +91,7 @@ class Lattice:
                 piece = np.full((len(some), n + 1, longest + 1), none, np.int32)
                 h = np.zeros((len(some), n), _U)
                 power = 1
-                for length in range(1, min(longest, n) + 1):
+                for length in range(1, longest + 1):
                     with np.errstate(over="ignore"):
                         h = h[:, : n - length + 1] + (body[:, length - 1 :].astype(_U) + _U(1)) * _U(power)
                     power = power * _BASE & ((1 << 64) - 1)
@@ -168,7 +168,7 @@ def _logsum(x: np.ndarray) -> np.ndarray:
 def initial_lattice(ranks: dict[bytes, int]) -> Lattice:
     """The vocabulary's pieces that can occur in a lower-cased word, weighted by rank; all single bytes are among them."""
     space = set(b" \t\n\v\f\r")
-    usable = [p for p in ranks if len(p) <= LONGEST_PIECE and not space & set(p[1:]) and p[0] not in b"\t\n\v\f\r" and not any(65 <= c <= 90 for c in p)]
+    usable = [p for p in ranks if not space & set(p[1:]) and p[0] not in b"\t\n\v\f\r" and not any(65 <= c <= 90 for c in p)]
     pieces = sorted({*usable, *(bytes([c]) for c in range(256))}, key=lambda p: (ranks.get(p, len(ranks)), p))
     order = np.array([len(ranks) if len(p) == 1 else ranks[p] for p in pieces], np.float64)
     weight = 1 / (order + 50)

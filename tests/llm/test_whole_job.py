@@ -1,10 +1,13 @@
 """Cases in which an operator once did less than the whole job."""
 
 import collections
+import math
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from shelfmark.llm import minhash, pii
+from shelfmark.llm import lm, minhash, pii
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -52,3 +55,17 @@ def test_terms_far_from_their_entity_disclose_it(spark):
     texts = {x.doc_id: x.text for x in pii.sanitise(table(spark, rows)).collect()}
     assert "uillfeather" not in texts[200].lower() and "rackenmoor" not in texts[201].lower()
     assert texts[202] == "onlycopies alone" and texts[100] == dict(rows)[100]
+
+
+def test_lattice_takes_long_pieces():
+    ranks = {bytes([c]): c for c in range(256)} | {b" everything": 256, b" every": 257, b"thing": 258, b" " + b"x" * 40: 259}
+    model = lm.initial_lattice(ranks)
+    assert set(model.pieces) == set(ranks)
+    weight = dict(zip(model.pieces, np.exp(model.log_weights)))
+
+    def spelled(word):
+        return 1.0 if not word else sum(weight[word[:k]] * spelled(word[k:]) for k in range(1, len(word) + 1) if word[:k] in weight)
+
+    end = math.exp(model.log_end)
+    words = [b"everything", b"x" * 40, b"x" * 41, b"a", b""]
+    assert np.allclose(model.log_probability(words), [math.log(spelled(b" " + w) * end / (1 - end)) for w in words], rtol=1e-12)
