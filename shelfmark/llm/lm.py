@@ -3,17 +3,22 @@
 A word is the byte string of a space and its letters, A-Z lower-cased. An
 existing vocabulary's pieces, weighted by its scores (ranks, read as a Zipf
 law), span a lattice of all segmentations of that string; a forward recursion in
-log space sums them, times the probability of ending, into the word's marginal
-probability. ``ROUNDS`` of expectation-maximisation over all distinct training
-words (forward-backward, every word once) fit the weights to the corpus; the
-vocabulary itself is never changed.
+log space sums them into the word's marginal. ``ROUNDS`` of
+expectation-maximisation (forward-backward over all training words) fit the
+weights to the corpus; the vocabulary itself is never changed.
 
-The lattice spells words the counts do not cover. With c counts of a token, N of
-all, T distinct words and the discount D,
+``score`` is the marginal of the whole text: as no piece goes on over a space, the
+sum over all segmentations of a text is the product of its words' sums, times one
+end. Its weights are fitted to all words as often as they come.
+
+``urn_score`` is that of a variant on whole words, in which a lattice with an end
+after every word, fitted to each distinct word once, only spells the words that
+counts do not cover. With c counts of a token, N of all, T distinct words and the
+discount D,
 
     P(word) = max(c - D, 0) / N + D T / N * P_lattice(word),   P(end) = c_end / N.
 
-Words come back within a text, so the text's probability is that of a Polya urn
+Words come back within a text, so the text's probability there is that of a Polya urn
 that starts with ``CONCENTRATION`` tokens dealt by P and gets back each word it
 gives with one more: (alpha P(w) + times seen before) / (alpha + words before) for
 each word, times one end. It does not depend on the words' order. The counts
@@ -23,7 +28,8 @@ scores in a join on the word, whose keys are rare by construction.
 
 Cases: a null or empty text is one end; a null doc_id counts as held out; repeated
 rows learn and score like others and each get a row; without training documents
-an end and the lattice's words have probability 1/2 each; an empty table gives an
+the weights are those of the ranks, and in the variant an end and the lattice's
+words have probability 1/2 each; an empty table gives an
 empty result; extra columns are ignored.
 """
 
@@ -74,13 +80,12 @@ class Lattice:
             out[n] = h[order], np.array(numbers, np.int64)[order]
         return out
 
-    def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(places of words, piece at [word, end, length], its log weight) for words of one byte length at a time."""
+    def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places of words, piece at [word, end, length]) for words of one byte length at a time."""
         tables, longest_piece = self._tables(), max(map(len, self.pieces))
         by: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by.setdefault(len(w) + 1, []).append(i)
-        weights = np.append(self.log_weights, -np.inf)
         for n, places in by.items():
             longest = min(longest_piece, n)  # no longer piece is in these words
             at_once = max(1, (1 << 19) // (n * longest))
@@ -100,7 +105,7 @@ class Lattice:
                         mixed = mix64(h)
                         to = np.minimum(np.searchsorted(keys, mixed), len(keys) - 1)
                         piece[:, length:, length] = np.where(keys[to] == mixed, numbers[to], none)
-                yield np.array(some), piece, weights[piece]
+                yield np.array(some), piece
 
     @staticmethod
     def forward(w: np.ndarray) -> np.ndarray:
@@ -126,24 +131,50 @@ class Lattice:
             beta[:, i] = _logsum(beta[:, i + 1 : i + lengths] + from_start[:, i, 1:])
         return beta[:, :ends]
 
+    def read(self, piece: np.ndarray) -> np.ndarray:
+        """The log weights of ``piece``, as ``batches`` numbers them."""
+        return np.append(self.log_weights, -np.inf)[piece]
+
+    def log_marginal(self, words: list[bytes]) -> np.ndarray:
+        """Natural log of the sum over all segmentations of each word, without an end."""
+        return log_marginals([self], words)[0]
+
+    def log_ended(self) -> float:
+        """What an end after every word adds: a word has at least one piece, so what ends at once is left out of the whole."""
+        return self.log_end - math.log1p(-math.exp(self.log_end))
+
     def log_probability(self, words: list[bytes]) -> np.ndarray:
         """Natural log of each word's marginal probability."""
-        out = np.zeros(len(words))
-        for places, _, w in self.batches(words):
-            out[places] = self.forward(w)[:, -1]
-        # A word has at least one piece: what ends at once is left out of the whole.
-        return out + self.log_end - math.log1p(-math.exp(self.log_end))
+        return self.log_marginal(words) + self.log_ended()
 
     def expected(self, words: list[bytes]) -> np.ndarray:
         """Expected number of each piece over all segmentations of all words, and of ends."""
-        out = np.zeros(len(self.pieces) + 1)
-        for places, piece, w in self.batches(words):
-            alpha, beta = self.forward(w), self.backward(w)
-            at, end, length = np.nonzero(piece != len(self.pieces))
-            share = np.exp(alpha[at, end - length] + w[at, end, length] + beta[at, end] - alpha[at, -1])
-            out[:-1] += np.bincount(piece[at, end, length], weights=share, minlength=len(self.pieces))
-        out[-1] = len(words)
-        return out
+        return expected([self], words, [np.ones(len(words))])[0]
+
+
+def log_marginals(models: list[Lattice], words: list[bytes]) -> np.ndarray:
+    """``log_marginal`` of each of several models with the same pieces, which are looked up once."""
+    out = np.zeros((len(models), len(words)))
+    for places, piece in models[0].batches(words):
+        for k, m in enumerate(models):
+            out[k, places] = m.forward(m.read(piece))[:, -1]
+    return out
+
+
+def expected(models: list[Lattice], words: list[bytes], times: list[np.ndarray]) -> np.ndarray:
+    """``expected`` of each of several models with the same pieces, in which each word counts ``times``."""
+    none = len(models[0].pieces)
+    out = np.zeros((len(models), none + 1))
+    for places, piece in models[0].batches(words):
+        at, end, length = np.nonzero(piece != none)
+        found = piece[at, end, length]
+        for k, m in enumerate(models):
+            w = m.read(piece)
+            alpha, beta = m.forward(w), m.backward(w)
+            share = np.exp(alpha[at, end - length] + w[at, end, length] + beta[at, end] - alpha[at, -1]) * times[k][places[at]]
+            out[k, :-1] += np.bincount(found, weights=share, minlength=none)
+    out[:, -1] = [t.sum() for t in times]
+    return out
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -237,113 +268,126 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_counted, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _fit_lattice(counts: DataFrame, ranks: dict[bytes, int], rounds: int) -> Lattice:
-    lattice = initial_lattice(ranks)
-    learn = counts.filter((F.col("c") > 0) & (F.octet_length("word") > 0)).select("word")
+def _fit_lattices(counts: DataFrame, ranks: dict[bytes, int], rounds: int, texts: int) -> tuple[Lattice, Lattice]:
+    """The lattice of whole texts, fitted to every word as often as it comes and one end a text, and that of
+    unseen words, fitted to every distinct word once and one end a word."""
+    of_texts = of_words = initial_lattice(ranks)
+    learn = counts.filter((F.col("c") > 0) & (F.octet_length("word") > 0)).select("word", "c")
     for _ in range(rounds):
-        shared = counts.sparkSession.sparkContext.broadcast((lattice.pieces, lattice.log_weights, lattice.log_end))
+        shared = counts.sparkSession.sparkContext.broadcast((of_texts.pieces, *((m.log_weights, m.log_end) for m in (of_texts, of_words))))
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            model, total = Lattice(*shared.value), np.zeros(len(shared.value[0]) + 1)
+            pieces, *fitted = shared.value
+            models, total = [Lattice(pieces, *m) for m in fitted], np.zeros((2, len(pieces) + 1))
             for batch in batches:
-                total += model.expected(batch.column("word").to_pylist())
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["piece", "n"])
+                words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy().astype(np.float64)
+                total += expected(models, words, [c, np.ones(len(words))])
+            some = np.flatnonzero(total.any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], ["piece", "t", "w"])
 
         # At most one row a piece of the vocabulary comes back.
-        rows = learn.mapInArrow(expect, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+        rows = learn.mapInArrow(expect, "piece long, t double, w double").groupBy("piece").agg(F.sum("t").alias("t"), F.sum("w").alias("w")).toArrow()
         if not rows.num_rows:
             break
-        found = np.zeros(len(lattice.pieces) + 1)
-        found[rows.column("piece").to_numpy()] = rows.column("n").to_numpy()
-        lattice = _refit(lattice, found)
-    return lattice
+        found = np.zeros((2, len(of_texts.pieces) + 1))
+        for k, c in enumerate("tw"):
+            found[k, rows.column("piece").to_numpy()] = rows.column(c).to_numpy()
+        found[0, -1] = texts
+        of_texts, of_words = _refit(of_texts, found[0]), _refit(of_words, found[1])
+    return of_texts, of_words
 
 
-def _word_scores(counts: DataFrame, lattice: Lattice, n: int, v: int, n_words: int) -> DataFrame:
-    """(word, known, base, score): the log10 probabilities of every token."""
-    shared = counts.sparkSession.sparkContext.broadcast((lattice.pieces, lattice.log_weights, lattice.log_end))
+def _word_scores(counts: DataFrame, of_texts: Lattice, of_words: Lattice, n: int, v: int, n_words: int) -> DataFrame:
+    """(word, known, base, score, urn): the log10 probabilities of every token."""
+    shared = counts.sparkSession.sparkContext.broadcast((of_texts.pieces, *((m.log_weights, m.log_end) for m in (of_texts, of_words))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Lattice(*shared.value)
+        pieces, *fitted = shared.value
+        text_model, word_model = (Lattice(pieces, *m) for m in fitted)
         for whole in batches:
             for a in range(0, whole.num_rows, 1 << 14):
                 batch = whole.slice(a, 1 << 14)
                 words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy()
                 end = np.array([w == END for w in words])
                 base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
-                spelled = model.log_probability(words)
+                of_text, of_word = log_marginals([text_model, word_model], words)
+                spelled = of_word + word_model.log_ended()
+                score = np.where(end, text_model.log_end, of_text)
                 if n:
                     seen = np.where(end, c, np.maximum(c - DISCOUNT, 0)) / n
                     rest = math.log(DISCOUNT * n_words / n) if n_words else math.log(0.5)
                     with np.errstate(divide="ignore"):
-                        score = np.where(end, np.log(np.maximum(seen, 1e-300)), np.logaddexp(np.log(seen), rest + spelled))
+                        urn = np.where(end, np.log(np.maximum(seen, 1e-300)), np.logaddexp(np.log(seen), rest + spelled))
                 else:
-                    score = np.where(end, math.log(0.5), math.log(0.5) + spelled)
+                    urn = np.where(end, math.log(0.5), math.log(0.5) + spelled)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("word"), pa.array((c > 0).astype(np.int64)), pa.array(base), pa.array(score / _LOG10)], ["word", "known", "base", "score"]
+                    [batch.column("word"), pa.array((c > 0).astype(np.int64)), pa.array(base), pa.array(score / _LOG10), pa.array(urn / _LOG10)],
+                    ["word", "known", "base", "score", "urn"],
                 )
 
-    return counts.mapInArrow(run, "word binary, known long, base double, score double")
+    return counts.mapInArrow(run, "word binary, known long, base double, score double, urn double")
 
 
 def score_texts(docs: DataFrame, vocabulary: str | None = None, rounds: int = ROUNDS, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of docs(doc_id, text)."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, urn_score) per row of docs(doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = shared_table(word_counts(docs), "word_counts")
     size = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"),
         F.count_if((F.col("c") > 0) & (F.octet_length("word") > 0)).alias("w"),
+        F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("c"))), F.lit(0)).alias("texts"),
     ).first()
     n = size["n"]
-    lattice = _fit_lattice(counts, load_ranks(vocabulary or default_vocabulary()), rounds)
-    scores = shared_table(_word_scores(counts, lattice, n, size["v"], size["w"]), "word_scores")
+    lattices = _fit_lattices(counts, load_ranks(vocabulary or default_vocabulary()), rounds, size["texts"])
+    scores = shared_table(_word_scores(counts, *lattices, n, size["v"], size["w"]), "word_scores")
     # No word is shorter than the end, so the end is always among them.
     short = counts.filter(F.octet_length("word") <= FREQUENT_BYTES)
     top = short.orderBy(F.octet_length("word") > 0, F.col("c").desc(), "word").limit(frequent).select("word")
     table = scores.join(F.broadcast(top), "word", "left_semi").toArrow()
-    known = dict(zip(table.column("word").to_pylist(), zip(*(table.column(c).to_pylist() for c in ("known", "base", "score")), strict=True), strict=True))
+    known = dict(zip(table.column("word").to_pylist(), zip(*(table.column(c).to_pylist() for c in ("known", "base", "score", "urn")), strict=True), strict=True))
     shared = spark.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per document one row of what the frequent words add up to, and a row for each other word."""
         get = shared.value.get
-        names = ["doc_id", "th", "copies", "word", "n", "known", "base", "score"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        names = ["doc_id", "th", "copies", "word", "n", "known", "base", "score", "urn"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for at, (doc_id, th, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text"), strict=True)):
                 words = Counter(_words(text.as_py()))
                 words[END] += 1
-                tokens, seen, base, score = 0, 0, 0.0, 0.0
+                tokens, seen, base, score, urn = 0, 0, 0.0, 0.0, 0.0
                 for w, k in words.items():
                     tokens += k
                     if (e := get(w)) is not None:
-                        seen, base, score = seen + k * e[0], base + k * e[1], score + (e[2] if w == END else drawn(e[2], k))
+                        seen, base, score = seen + k * e[0], base + k * e[1], score + k * e[2]
+                        urn += e[3] if w == END else drawn(e[3], k)
                     else:
-                        for c, x in zip(out, (doc_id, th, 0, w, k, None, None, None), strict=True):
+                        for c, x in zip(out, (doc_id, th, 0, w, k, None, None, None, None), strict=True):
                             c.append(x)
-                score -= urn_size(tokens - 1)
+                urn -= urn_size(tokens - 1)
                 # White space is in no word: this row meets nothing in the join, and spreads evenly over it.
-                for c, x in zip(out, (doc_id, th, 1, b" %d %d" % (doc_id or 0, th), tokens, seen, base, score), strict=True):
+                for c, x in zip(out, (doc_id, th, 1, b" %d %d" % (doc_id or 0, th), tokens, seen, base, score, urn), strict=True):
                     c.append(x)
                 if len(out[0]) > 50_000 or at + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
                     out = [[] for _ in names]
 
     rows = docs.withColumn("th", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, th long, copies long, word binary, n long, known long, base double, score double"
+        run, "doc_id long, th long, copies long, word binary, n long, known long, base double, score double, urn double"
     )
-    again = f"aggregate(sequence(1, cast(n as int) - 1), 0D, (a, k) -> a + log10({CONCENTRATION}D * pow(10D, score) + k))"
-    rare = F.expr(f"log10({CONCENTRATION}D) + score + case when n > 1 then {again} else 0D end")
-    own = rows.withColumnsRenamed({"known": "k0", "base": "b0", "score": "s0"}).join(scores, "word", "left")
+    again = f"aggregate(sequence(1, cast(n as int) - 1), 0D, (a, k) -> a + log10({CONCENTRATION}D * pow(10D, urn) + k))"
+    rare = F.expr(f"log10({CONCENTRATION}D) + urn + case when n > 1 then {again} else 0D end")
+    own = rows.withColumnsRenamed({"known": "k0", "base": "b0", "score": "s0", "urn": "u0"}).join(scores, "word", "left")
     summed = own.groupBy("doc_id", "th").agg(
         F.sum("copies").alias("copies"),
         F.sum(F.when(F.col("copies") > 0, F.col("n"))).alias("n"),
         F.sum(F.coalesce("k0", F.col("n") * F.col("known"), F.lit(0))).alias("known"),
         F.sum(F.coalesce("b0", F.col("n") * F.col("base"))).alias("base"),
-        F.sum(F.coalesce("s0", rare)).alias("score"),
+        F.sum(F.coalesce("s0", F.col("n") * F.col("score"))).alias("score"),
+        F.sum(F.coalesce("u0", rare)).alias("urn"),
     )
     whole = lambda c: (F.col(c) / F.col("copies")).cast("long").alias(f"n_{c}" if c == "known" else "n_tokens")
     out_id = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
@@ -351,9 +395,10 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None, rounds: int = RO
     return summed.withColumn("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(
         "doc_id", out_id.alias("held_out"), whole("n"), whole("known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"),
+        (F.col("urn") / F.col("copies")).alias("urn_score"),
     )
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base and lattice scores of all whole texts."""
+    """Base, lattice and urn scores of all whole texts."""
     return score_texts(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

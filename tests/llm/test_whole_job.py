@@ -1,5 +1,6 @@
 """Cases in which an operator once did less than the whole job."""
 
+import base64
 import collections
 import math
 import random
@@ -69,3 +70,36 @@ def test_lattice_takes_long_pieces():
     end = math.exp(model.log_end)
     words = [b"everything", b"x" * 40, b"x" * 41, b"a", b""]
     assert np.allclose(model.log_probability(words), [math.log(spelled(b" " + w) * end / (1 - end)) for w in words], rtol=1e-12)
+
+
+def test_lm_score_is_the_lattice_marginal(spark, tmp_path):
+    pieces = [*(bytes([c]) for c in range(256)), b" ab", b"ab", b" abab", b"ba"]
+    ranks = {p: k for k, p in enumerate(pieces)}
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(p) + b" %d\n" % k for p, k in ranks.items()))
+    rows = [(i, t) for i, t in enumerate(["abab ab", "AB  abba", "", "ba ab ab abab", "unseen words"] * 3)] + [(None, "abab")]
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, x int")
+    train = collections.Counter(w for i, t in rows if not lm.held_out(i) for w in lm._words(t))
+    texts = sum(not lm.held_out(i) for i, _ in rows)
+    model = lm.initial_lattice(ranks)
+    weight, end = dict(zip(model.pieces, np.exp(model.log_weights))), math.exp(model.log_end)
+
+    def segmentations(text):
+        return [[text[:k], *rest] for k in range(1, len(text) + 1) if text[:k] in weight for rest in segmentations(text[k:])] if text else [[]]
+
+    product = lambda parts: math.prod(weight[p] for p in parts)
+    for rounds in (0, 1):
+        if rounds:
+            fitted = collections.Counter({p: 0.1 for p in weight})
+            for w, c in train.items():
+                ways = segmentations(b" " + w)
+                for parts in ways:
+                    for p in parts:
+                        fitted[p] += c * product(parts) / sum(map(product, ways))
+            whole = sum(fitted.values()) + texts + 0.1
+            weight, end = {p: n / whole for p, n in fitted.items()}, (texts + 0.1) / whole
+        for frequent in (2, 100):
+            for r in lm.score_texts(df, str(path), rounds, frequent).join(df, "doc_id").collect():
+                text = b"".join(b" " + w for w in lm._words(r.text))
+                assert math.isclose(r.score, math.log10(sum(map(product, segmentations(text))) * end), rel_tol=1e-9), r
+                assert r.urn_score < 0
