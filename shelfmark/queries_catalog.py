@@ -529,5 +529,5 @@ def event_windows(spark, d):
     source = new_path(spark, "events")
     events.write.parquet(source)
     out, mark = new_path(spark, "windows"), new_path(spark, "stream")
-    drain(spark, windowed_counts(spark.readStream.schema(events.schema).parquet(source)), out, mark)
+    drain(spark, windowed_counts(spark.readStream.schema(events.schema).parquet(source)), out, mark, mode="complete")
     return spark.read.schema("window_start timestamp, event_type string, n long, total double").parquet(out)

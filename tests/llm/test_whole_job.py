@@ -8,6 +8,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
+from shelfmark import queries_catalog
 from shelfmark.llm import lm, minhash, pii
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -103,3 +104,10 @@ def test_lm_score_is_the_lattice_marginal(spark, tmp_path):
                 text = b"".join(b" " + w for w in lm._words(r.text))
                 assert math.isclose(r.score, math.log10(sum(map(product, segmentations(text))) * end), rel_tol=1e-9), r
                 assert r.urn_score < 0
+
+
+def test_event_windows_count_every_event(spark, sf_dir):
+    rows = queries_catalog.event_windows(spark, sf_dir).collect()
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert sum(r.n for r in rows) == events.count()
+    assert len({(r.window_start, r.event_type) for r in rows}) == len(rows)
