@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer, SQLTransformer, VectorAssembler
@@ -95,9 +97,11 @@ def bundle_probability(df: DataFrame, label: Column, min_positive: int = 40, min
 
 
 def calibrate(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """``df`` with calibrated: the probability of the label given the features."""
+    """``df`` with calibrated: the probability of the label given the features, null where one is missing."""
     known = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="skip")
     train = known.transform(df.filter(F.col(label).isNotNull()).withColumn("_y", (F.col(label) > 0.5).cast("double")))
     model = LogisticRegression(featuresCol="_x", labelCol="_y", maxIter=100).fit(train)
     p = F.element_at(vector_to_array("probability"), 2)
-    return model.transform(known.transform(df)).withColumn("calibrated", p).select(*df.columns, "calibrated")
+    whole = reduce(lambda x, y: x & y, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in features])
+    every = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep")
+    return model.transform(every.transform(df)).withColumn("calibrated", F.when(whole, p)).select(*df.columns, "calibrated")

@@ -10,6 +10,7 @@ import numpy as np
 import corpus_pipeline
 from shelfmark import queries_catalog
 from shelfmark.llm import lm, minhash, pii
+from shelfmark.operators import models
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -111,3 +112,11 @@ def test_event_windows_count_every_event(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert sum(r.n for r in rows) == events.count()
     assert len({(r.window_start, r.event_type) for r in rows}) == len(rows)
+
+
+def test_calibrated_rows_with_missing_features_stay(spark):
+    rows = [(i, float(i % 10), float(i % 10 > 4)) for i in range(40)] + [(100, None, 1.0), (101, float("nan"), None), (102, 3.0, None)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    got = {r.id: r.calibrated for r in models.calibrate(df, ["x"], "y").collect()}
+    assert got.keys() == {r[0] for r in rows}
+    assert got[100] is None and got[101] is None and got[102] < 0.5 < got[9]
