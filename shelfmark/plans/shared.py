@@ -13,15 +13,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the cluster names no folder (local tests).
+#: Used only by local sessions that name no folder, as in tests.
 LOCAL_FALLBACK = "file:///tmp/checkpoints/shelfmark"
+#: Lets Spark delete the shuffle files of a query that has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where unset, a local one."""
+    """The folder in ``spark.checkpoint.dir``; only a local session may leave it unset."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or LOCAL_FALLBACK).rstrip("/")
 
 
@@ -33,21 +37,35 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def shared_table(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once and return a reader of what was written."""
+    """Write ``df`` once and return a reader of what was written.
+
+    As nothing reads the query's shuffles after that, their files go when it ends.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before else spark.conf.unset(CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out._shelfmark_path = path
     return out
 
 
+def table_path(table: DataFrame) -> str:
+    """Where the table is that :func:`shared_table` wrote."""
+    return table._shelfmark_path
+
+
 def drop_shared(*tables: DataFrame | None) -> None:
-    """Delete tables that :func:`shared_table` made and nothing reads any more."""
+    """Delete tables that :func:`shared_table` made (or results that read one alone) and nothing reads any more."""
     for t in tables:
         path = getattr(t, "_shelfmark_path", None)
         if path:
             delete_path(t.sparkSession, path)
+            _made[:] = [m for m in _made if m[1] != path]
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
