@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.textbytes import batch_bytes, mix64, shingle_sets
 from shelfmark.plans.graph import connected_components
-from shelfmark.plans.shared import shared_table
+from shelfmark.plans.shared import drop_shared, shared_table
 
 COORDINATES = 256
 BANDS, BAND_ROWS = 51, 5
@@ -103,7 +103,7 @@ def bits_of(sketch: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(four[:, 0::2] << 4 | four[:, 1::2]).view(np.int64)
 
 
-def _docs_at_a_time(batch: pa.RecordBatch, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def _docs_at_a_time(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` text bytes; a longer text is a slice of its own."""
     _, offsets = batch_bytes(batch.column("text"))
     a = 0
@@ -125,8 +125,8 @@ def _sketched(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             sketch = fast_sketch(sets, at)
             keys = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(at)), pa.array(keys, pa.binary()), _longs(bits_of(sketch), 16), _longs(bands_of(sketch), BANDS)],
-                ["doc_id", "n_shingles", "set_key", "bits", "bands"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(at)), pa.array(keys, pa.binary()), _longs(bits_of(sketch), 16), _longs(bands_of(sketch), BANDS)],
+                ["doc_id", "text_key", "n_shingles", "set_key", "bits", "bands"],
             )
 
 
@@ -241,47 +241,69 @@ def _tiled_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     of = [f"of_{k}" for k in key]
     needed = pairs.select(*(F.col(k).alias(o) for k, o in zip(key, of, strict=True)), F.explode(F.array_distinct(F.concat("a", "b"))).alias("rep"))
     needed = needed.join(sets.select("rep", "shingles"), "rep")
-    return pairs.groupBy(*key).cogroup(needed.groupBy(*of)).applyInArrow(_tile_links, "src long, dst long")
+    links = pairs.groupBy(*key).cogroup(needed.groupBy(*of)).applyInArrow(_tile_links, "src long, dst long")
+    out = shared_table(links, "tile_links")
+    drop_shared(pairs)
+    return out
 
 
 def _with_links(parts: DataFrame | None, links: DataFrame) -> DataFrame:
     """(node, component) after ``links``; only the graph of earlier components and new links is closed."""
     if parts is None:
-        return shared_table(connected_components(links), "parts")
+        found = connected_components(links)
+        out = shared_table(found, "parts")
+        drop_shared(found)
+        return out
     p, q = (parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}")) for x in ("src", "dst"))
     between = links.join(p, "src", "left").join(q, "dst", "left")
     between = between.select(F.coalesce("part_src", "src").alias("src"), F.coalesce("part_dst", "dst").alias("dst"))
-    closed = shared_table(connected_components(between), "closed")
+    found = connected_components(between)
+    closed = shared_table(found, "closed")
+    drop_shared(found)
     moved = closed.select(F.col("node").alias("component"), F.col("component").alias("into"))
     old = parts.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
-    return shared_table(old.unionByName(closed.join(parts, "node", "left_anti")), "parts")
+    out = shared_table(old.unionByName(closed.join(parts, "node", "left_anti")), "parts")
+    drop_shared(closed, parts)
+    return out
 
 
 def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
-    """(doc_id, n_shingles, set_key, component_id, kept) per row of docs(doc_id, text), on shingles of ``width`` words."""
+    """(doc_id, n_shingles, set_key, component_id, kept, text_key) per row of docs(doc_id, text), on shingles of ``width`` words.
+
+    A table is deleted as soon as its last reader has run; the result reads two narrow ones.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = shared_table(
-        docs.mapInArrow(lambda batches: _sketched(batches, width), "doc_id long, n_shingles long, set_key binary, bits array<long>, bands array<long>"), "sketches"
+        docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+            lambda batches: _sketched(batches, width), "doc_id long, text_key long, n_shingles long, set_key binary, bits array<long>, bands array<long>"
+        ),
+        "sketches",
     )
     classes = shared_table(
         sketched.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands")),
         "classes",
     )
+    rows = shared_table(sketched.select("doc_id", "text_key", "n_shingles", "set_key"), "set_keys")
+    drop_shared(sketched)
     in_band = classes.select("rep", "n", F.posexplode("bands").alias("no", "band"))
     heads = shared_table(
         in_band.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("members")).filter("members > 1").drop("members"), "buckets"
     )
     members = shared_table(in_band.join(heads, "band"), "members")
+    drop_shared(heads)
     about = classes.select("rep", "n", "bits")
     a = about.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     b = about.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     candidates = shared_table(members.select("rep").distinct().join(classes.select("rep", "set_key"), "rep"), "candidates")
-    texts = docs.join(candidates.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
+    # The candidates of a part of the documents are small beside its texts, which need no sorting then.
+    wanted = candidates.select(F.col("rep").alias("doc_id")).hint("shuffle_hash")
+    texts = docs.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
     built = texts.mapInArrow(lambda batches: _with_sets(batches, width), "rep long, set_key binary, shingles array<long>")
     # A doc_id may come with several texts; the representative's is the one with its class's key.
     sets = shared_table(built.join(candidates, ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]), "shingle_sets")
-    tested = parts = None
+    drop_shared(candidates)
+    tests, parts = [], None
     for first, last in zip(ROUNDS, (*ROUNDS[1:], BANDS), strict=True):
         to_head = members.filter((F.col("no") >= first) & (F.col("no") < last) & (F.col("rep") != F.col("head"))).select(F.col("head").alias("a"), F.col("rep").alias("b"))
         if parts is not None:
@@ -289,10 +311,12 @@ def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
             to_head = to_head.join(p, "a", "left").join(q, "b", "left").filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
         near = shared_table(_possible(to_head.distinct().join(a, "a").join(b, "b")).select("a", "b"), "head_pairs")
         found = shared_table(_verified(near, sets), "head_links")
-        tested = near if tested is None else tested.unionByName(near)
+        tests.append(near)
         parts = _with_links(parts, found)
+        drop_shared(found)
     placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     placed = shared_table(placed.select("band", "no", "rep", "n", F.coalesce("component", "rep").alias("part")), "placed")
+    drop_shared(members)
     mixed = placed.groupBy("band").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count("*").alias("members"), F.sum("n").alias("shingles"))
     tiles = F.ceil(F.greatest(F.col("members") / TILE, F.col("shingles") / TILE_SHINGLES))
     mixed = shared_table(mixed.filter("p0 <> p1").select("band", "members", tiles.alias("tiles")), "mixed_buckets")
@@ -301,23 +325,43 @@ def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
     x = few.select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     y = few.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     across = _possible(x.join(y, "band").filter("part_a <> part_b and a < b")).select("a", "b").distinct()
-    across = shared_table(across.join(tested.distinct(), ["a", "b"], "left_anti"), "across_pairs")
+    tested = reduce(lambda s, t: s.unionByName(t), tests).distinct()
+    across = shared_table(across.join(tested, ["a", "b"], "left_anti"), "across_pairs")
+    drop_shared(few, *tests)
     many = placed.join(mixed.filter(F.col("members") > FEW).select("band", "tiles"), "band").join(classes.select("rep", "bits", "bands"), "rep")
-    parts = _with_links(parts, _verified(across, sets).unionByName(_tiled_links(many, sets)))
+    in_tiles = _tiled_links(many, sets)
+    parts = _with_links(parts, _verified(across, sets).unionByName(in_tiles))
+    drop_shared(placed, mixed, across, in_tiles, sets)
     of_class = classes.select("set_key", "rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = shared_table(of_class.select("set_key", F.coalesce("component", "rep").alias("of_class")), "class_components")
-    rows = sketched.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    drop_shared(classes, parts)
+    rows = rows.join(of_class, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("of_class", "doc_id")).otherwise(F.col("doc_id"))
     rows = rows.withColumn("component_id", component)
-    return rows.select("doc_id", "n_shingles", "set_key", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return rows.select("doc_id", "n_shingles", "set_key", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "text_key")
 
 
 def deduplicate(docs: DataFrame, width: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest doc_id of each group, once, and every text without words."""
-    stay = near_duplicates(docs, width).filter("kept").select("doc_id").distinct()
-    whole = docs.join(shared_table(stay, "stay"), "doc_id", "left_semi")
-    whole = whole.unionByName(docs.filter("doc_id is null"))
-    return whole.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    """The rows of ``docs`` that stay: the smallest doc_id of each group, once, and every text without words.
+
+    Rows are chosen by (doc_id, hash of the text) alone, and texts are shuffled once, to
+    meet that choice. Of several rows with one doc_id and text, the one with the
+    smallest hash of its other columns stays; only where there are any, a second pass
+    is made for them.
+    """
+    key = ["_id", "_none", "_text"]
+    of = lambda df, text: df.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull(), "_text": text})
+    near = near_duplicates(docs, width).filter(F.col("kept") | F.col("doc_id").isNull())
+    stay = shared_table(of(near, F.col("text_key")).groupBy(*key).agg(F.count("*").alias("times")), "stay")
+    keyed = of(docs, F.xxhash64("text"))
+    # At every size texts go to hash tables of ids; they are never sorted, and never on the side that is held in memory.
+    whole = keyed.join(stay.filter("times = 1").select(*key).hint("shuffle_hash"), key, "left_semi").select(*docs.columns)
+    if stay.filter("times > 1").isEmpty():
+        return whole
+    again = keyed.join(stay.filter("times > 1").select(*key), key, "left_semi")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64(*others) if others else F.lit(0))
+    return whole.unionByName(again.groupBy(*key).agg(first.alias("row")).select("row.*"))
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
