@@ -31,6 +31,8 @@ TRAIN_ROWS = 4096
 DIMS = 2048
 DAMPING = 64
 KEEP_FROM = 0.5
+#: Training stops where a round moves no weight by more than this part of the largest.
+STEP_ENDS = 1e-3
 PRIOR_GOOD = 0.8
 #: Frequent function words of the corpus's four languages (fixed values).
 FUNCTION_WORDS = (
@@ -165,22 +167,31 @@ def estimate(pattern: np.ndarray, count: np.ndarray, rounds: int = 300) -> tuple
 
 
 def train(x: np.ndarray, y: np.ndarray, rounds: int = 400, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient descent; weights for raw features."""
-    mean, std = x.mean(axis=0), x.std(axis=0) + 0.01
+    """Logistic regression on soft labels by accelerated gradient descent; weights for raw features.
+
+    All of it is in the type of ``x``, so that products need no copy of the table. It
+    stops where no weight moves by more than ``STEP_ENDS`` of the largest.
+    """
+    kind = x.dtype.type
+    mean, std = x.mean(axis=0, dtype=np.float64).astype(kind), x.std(axis=0, dtype=np.float64).astype(kind) + kind(0.01)
     z = (x - mean) / std
+    y = y.astype(kind)
     n, d = z.shape
-    w, b, ahead_w, ahead_b = np.zeros(d), 0.0, np.zeros(d), 0.0
-    rate = 4.0 / (max(float((z**2).sum()) / n, 1.0) + 1.0)
+    w, b, ahead_w, ahead_b = np.zeros(d, kind), kind(0), np.zeros(d, kind), kind(0)
+    rate = kind(4.0 / (max(float(np.einsum("ij,ij->", z, z, dtype=np.float64)) / n, 1.0) + 1.0))
     for t in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ ahead_w + ahead_b, -30, 30)))
         gap = p - y
-        new_w, new_b = ahead_w - rate * (z.T @ gap / n + penalty * ahead_w), ahead_b - rate * gap.mean() * 20
-        ahead_w, ahead_b = new_w + t / (t + 3) * (new_w - w), new_b + t / (t + 3) * (new_b - b)
+        new_w, new_b = ahead_w - rate * (gap @ z / kind(n) + kind(penalty) * ahead_w), ahead_b - rate * gap.mean() * kind(20)
+        still = np.abs(new_w - w).max(initial=0) <= STEP_ENDS * np.abs(new_w).max(initial=0)
+        ahead_w, ahead_b = new_w + kind(t / (t + 3)) * (new_w - w), new_b + kind(t / (t + 3)) * (new_b - b)
         w, b = new_w, new_b
+        if still:
+            break
     return w / std, float(b - (mean / std) @ w)
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     _, offsets = batch_bytes(batch.column("text"))
     a = 0
     while a < batch.num_rows:
