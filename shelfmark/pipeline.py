@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import time
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +40,7 @@ def run_pipeline(spark: SparkSession, input_csv, output_dir: str, sample: int |
     export_json_lines(out["variants"].orderBy("variant_id"), f"{output_dir}/variants")
     export_csv(out["assignments"], f"{output_dir}/assignments")
     summary = out["summary"].first().asDict() | {"processing_time_seconds": round(time.time() - start, 2), "vectors_used": vector is not None}
-    export_json(Path(output_dir) / "summary.json", summary)
+    export_json(spark, f"{output_dir}/summary.json", summary)
     return summary
 
 

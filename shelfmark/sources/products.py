@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfmark.functions import specs as S
 from shelfmark.functions import text as T
+from shelfmark.plans.numbering import number_rows
 
 #: The columns that a feed may have, all read as text.
 FEED = (
@@ -37,13 +40,49 @@ def resolve(source) -> list[str]:
     return list(dict.fromkeys(found))
 
 
+def header_of(spark: SparkSession, path: str) -> str:
+    """The first line of a file that Spark's file systems can open; of a folder, that of its first part file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        parts = sorted(str(s.getPath()) for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", ".")) and s.getLen() > 0)
+        if not parts:
+            return ""
+        p = jvm.org.apache.hadoop.fs.Path(parts[0])
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
 def scan_csv(spark: SparkSession, source, columns: list[str] | None = None, types: dict[str, str] | None = None) -> DataFrame:
-    """Quoted CSV with a header, as text; files are united by column name in the given order."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    frames = [reader.csv(p).withColumn("_file", F.lit(i)) for i, p in enumerate(resolve(source))]
+    """Quoted CSV with a header, as text, united by column name; ``_file`` is the place of a row's source in the given order, ``_path`` its file.
+
+    Only first lines are read to plan the scan: files with one header are one scan, however many they are.
+    """
+    paths = resolve(source)
+    by_header: dict[str, list[str]] = {}
+    for p in paths:
+        by_header.setdefault(header_of(spark, p), []).append(p)
+    names = spark.createDataFrame([(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p).toUri().getPath(), i) for i, p in enumerate(paths)], "_path string, _file int")
+    frames = []
+    for header, files in by_header.items():
+        fields = next(csv.reader([header]), [])
+        schema = StructType([StructField(c, StringType()) for c in fields])
+        reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+        frames.append(reader.csv(files).withColumn("_path", F.expr("url_decode(replace(parse_url(_metadata.file_path, 'PATH'), '+', '%2B'))")))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    # A given path is a file or the folder of its part files.
+    found = df.withColumn("_folder", F.regexp_replace("_path", "/[^/]*$", ""))
+    own = names.select(F.col("_path").alias("_own"), F.col("_file").alias("_own_file"))
+    folder = names.select(F.col("_path").alias("_in"), F.col("_file").alias("_in_file"))
+    found = found.join(own, F.col("_path") == F.col("_own"), "left").join(folder, F.col("_folder") == F.col("_in"), "left")
+    df = found.withColumn("_file", F.coalesce("_own_file", "_in_file")).drop("_folder", "_own", "_own_file", "_in", "_in_file")
     if columns:
-        df = df.select(*columns, "_file")
+        df = df.select(*columns, "_file", "_path")
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in (types or {}).items()})
 
 
@@ -88,10 +127,8 @@ def load_products(spark: SparkSession, source, sample: int | None = None, seed:
     if sample:
         df = sample_n(df, sample, seed, "product_id")
     if "row_id" not in df.columns:
-        # zipWithIndex numbers rows in file order without collecting them.
-        schema = df.schema.add("row_id", "long")
-        df = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(schema)
-    return enrich(df.drop("_file"), clean)
+        df = number_rows(df) if sample else number_rows(df, within=["_file", "_path"])
+    return enrich(df.drop("_file", "_path"), clean)
 
 
 def parse_stats(df: DataFrame) -> DataFrame:

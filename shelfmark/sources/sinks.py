@@ -1,18 +1,20 @@
-"""Writers of the pipeline's results."""
+"""Writers of the pipeline's results; paths are those of any file system that Spark can write to."""
 
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def export_json(path: str | Path, payload: dict) -> None:
+def export_json(spark: SparkSession, path: str, payload: dict) -> None:
     """A small document, indented, UTF-8 as it is."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(payload, indent=2, ensure_ascii=False), encoding="utf-8")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(json.dumps(payload, indent=2, ensure_ascii=False).encode()))
+    finally:
+        out.close()
 
 
 def export_json_lines(df: DataFrame, path: str) -> None:
@@ -20,6 +22,6 @@ def export_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def export_csv(df: DataFrame, path: str, single: bool = True) -> None:
-    """CSV with a header, in one part file unless the result is large."""
+def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
+    """CSV with a header, a part file a task; ``single`` is for results of bounded size, such as a top-n."""
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
