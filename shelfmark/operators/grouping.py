@@ -56,20 +56,36 @@ def medoids(weights: DataFrame, row: str, parts: DataFrame) -> DataFrame:
     return every.groupBy("component").agg(F.max_by(row, F.struct("sim", -F.col(row))).alias("medoid"))
 
 
-def group_products(df: DataFrame, threshold: float = 0.82, vector: str | None = None, min_df: int = 3, max_df: float = 0.95) -> tuple[DataFrame, DataFrame]:
-    """``df`` with group_id, and (group_id, brand, family, generation, member_ids).
+def title_links(rows: DataFrame, weights: DataFrame, threshold: float) -> DataFrame:
+    """(src, dst) links of rows(row_id, t, block columns): copies of a title in a block with the first of them, and the firsts with each other."""
+    first = rows.groupBy(*BLOCK, "t").agg(F.min("row_id").alias("first"), F.count("*").alias("copies"))
+    first = shared_table(first, "distinct_titles")
+    # An empty title is like nothing, not even another empty title.
+    copies = rows.join(first.filter("copies > 1 and t <> ''").drop("copies"), [*BLOCK, "t"]).filter("row_id <> first").select(F.col("first").alias("src"), F.col("row_id").alias("dst"))
+    firsts = first.select(F.col("first").alias("row_id"), *BLOCK)
+    own = weights.join(firsts.select("row_id"), "row_id", "left_semi")
+    known = weights.select("row_id").distinct()
+    pairs = V.similar_rows(own, "row_id", firsts, BLOCK, threshold).select("src", "dst")
+    return pairs.unionByName(copies.join(known, copies["src"] == known["row_id"], "left_semi"))
+
+
+def group_products(df: DataFrame, threshold: float = 0.82, vector: str | None = None, min_df: int = 3, max_df: float = 0.95,
+                   with_members: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``df`` with group_id, and (group_id, brand, family, generation).
 
     Rows of a block are linked at a cosine of ``threshold``; with a ``vector`` column
     those vectors are compared, else TF-IDF weights of titles over all rows.
+    ``with_members`` adds member_ids, an array that is as long as a group is large; the
+    members are also the rows of the first result with that group_id.
     """
     rows = shared_table(with_block(df), "blocked")
     if vector:
         pairs = V.similar_pairs(rows, "row_id", BLOCK, vector, threshold)
         weights = rows.select("row_id", F.posexplode(V.unit(F.col(vector))).alias("term", "weight"))
     else:
-        titles = rows.select("row_id", T.canonical_title(F.col("name")).alias("t"))
+        titles = shared_table(rows.select("row_id", *BLOCK, T.canonical_title(F.col("name")).alias("t")), "titles")
         weights = shared_table(V.tfidf(titles, "row_id", "t", min_df, max_df), "title_weights")
-        pairs = V.similar_rows(weights, "row_id", rows.select("row_id", *BLOCK), BLOCK, threshold)
+        pairs = title_links(titles, weights, threshold)
     found = connected_components(pairs).withColumnRenamed("node", "row_id")
     parts = shared_table(rows.select("row_id").join(found, "row_id", "left").select("row_id", F.coalesce("component", "row_id").alias("component")), "group_parts")
     chosen = medoids(weights, "row_id", parts).withColumnRenamed("medoid", "row_id")
@@ -81,5 +97,7 @@ def group_products(df: DataFrame, threshold: float = 0.82, vector: str | None =
     named = named.withColumn("group_id", F.when(F.col("_use") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("_use").cast("string"))))
     named = shared_table(named.select("component", "group_id", "brand", "family", "generation"), "groups")
     assigned = parts.join(named.select("component", "group_id"), "component").select("row_id", "group_id")
-    members = parts.groupBy("component").agg(F.sort_array(F.collect_list("row_id")).alias("member_ids"))
-    return df.join(assigned, "row_id"), named.join(members, "component").drop("component")
+    groups = named
+    if with_members:
+        groups = named.join(parts.groupBy("component").agg(F.sort_array(F.collect_list("row_id")).alias("member_ids")), "component")
+    return df.join(assigned, "row_id"), groups.drop("component")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 TOKEN = r"(?U)\b\w\w+\b"
@@ -20,16 +21,29 @@ def terms(c: Column) -> Column:
     return F.flatten(F.transform(F.array(words), grams))
 
 
-def tfidf(df: DataFrame, row: str, text: str, min_df: int = 3, max_df: float = 0.95) -> DataFrame:
+def term_counts(df: DataFrame, row: str, text: str) -> DataFrame:
+    """(row, term, tf)"""
+    return df.select(row, F.explode(terms(F.col(text))).alias("term")).groupBy(row, "term").agg(F.count("*").alias("tf"))
+
+
+def frequencies(counts: DataFrame, n: int, min_df: int = 3, max_df: float = 0.95) -> DataFrame:
+    """(term, df) of the terms in at least ``min_df`` rows and at most a share of ``max_df`` of all n."""
+    return counts.groupBy("term").agg(F.count("*").alias("df")).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
+
+
+def weighted(counts: DataFrame, frequency: DataFrame, n: int, row: str) -> DataFrame:
     """(row, term, weight): sublinear tf times smoothed idf, of unit length per row."""
-    counts = df.select(row, F.explode(terms(F.col(text))).alias("term")).groupBy(row, "term").agg(F.count("*").alias("tf"))
-    n = df.count()
-    frequency = counts.groupBy("term").agg(F.count("*").alias("df")).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
     raw = counts.join(frequency, "term").select(row, "term", ((1 + F.log("tf")) * (F.log((1 + n) / (1 + F.col("df"))) + 1)).alias("w"))
     norm = raw.groupBy(row).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norm, row).select(row, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
+def tfidf(df: DataFrame, row: str, text: str, min_df: int = 3, max_df: float = 0.95) -> DataFrame:
+    """(row, term, weight) of every row that has a term, over all rows."""
+    counts, n = term_counts(df, row, text), df.count()
+    return weighted(counts, frequencies(counts, n, min_df, max_df), n, row)
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
@@ -64,9 +78,25 @@ def similar_pairs(df: DataFrame, row: str, block: list[str], vector: str, thresh
 
 
 def similar_rows(weights: DataFrame, row: str, block: DataFrame, block_columns: list[str], threshold: float) -> DataFrame:
-    """(src, dst, sim) of sparse rows: terms meet within their block, products are summed per pair."""
-    w = weights.join(block, row)
-    a = w.select(*block_columns, "term", F.col(row).alias("src"), F.col("weight").alias("wa"))
-    b = w.select(*block_columns, "term", F.col(row).alias("dst"), F.col("weight").alias("wb"))
-    pairs = a.join(b, [*block_columns, "term"]).filter("src < dst").groupBy("src", "dst").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    return pairs.filter(F.col("sim") >= threshold - 1e-9)
+    """(src, dst, sim) of sparse unit rows of one block with a cosine >= threshold.
+
+    Only pairs that share a term of both rows' prefixes are compared. Terms are put in
+    one order, rare ones first; a row's prefix is what is left when its most frequent
+    terms are taken away while they are shorter than the threshold in all. If the first
+    term that two rows share were outside a prefix, all that they share would be, and
+    their product would be under the threshold. So no pair is lost, and a term that
+    nearly every row has brings rows together only where it makes up most of one.
+    """
+    order = weights.groupBy("term").agg(F.count("*").alias("_df"))
+    behind = W.partitionBy(row).orderBy(F.col("_df").desc(), "term")  # a row's own terms only
+    ranked = weights.join(order, "term").withColumn("_length", F.sum(F.col("weight") * F.col("weight")).over(behind))
+    prefix = ranked.filter(F.col("_length") >= (threshold - 1e-9) ** 2).select(row, "term").join(block, row)
+    a = prefix.select(*block_columns, "term", F.col(row).alias("src"))
+    b = prefix.select(*block_columns, "term", F.col(row).alias("dst"))
+    pairs = a.join(b, [*block_columns, "term"]).filter("src < dst").select("src", "dst").distinct()
+    whole = weights.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("m"))  # a row's own terms
+    of = lambda name, m: whole.select(F.col(row).alias(name), F.col("m").alias(m))
+    terms_ = F.map_entries("ma")
+    sim = F.aggregate(terms_, F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("mb"), e["key"]), F.lit(0.0)))
+    found = pairs.join(of("src", "ma"), "src").join(of("dst", "mb"), "dst").select("src", "dst", sim.alias("sim"))
+    return found.filter(F.col("sim") >= threshold - 1e-9)
