@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import parse as P
 from shelfmark.functions import specs as S
 from shelfmark.functions import text as T
+from shelfmark.plans.numbering import number_rows
 
 # ---- Fixed values ----
 ADDED = r"\b(mouse|bag|soundbar|case|keyboard|micro sd|sd card|dock|mount)\b"
@@ -140,9 +141,10 @@ def non_bundle_sample(probed: DataFrame, n: int = 50, seed: int = 42, share: flo
     ahead = W.orderBy(F.col("bundle_score").desc()).rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("bundle_score", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("start"), "c")
     rows = probed.join(F.broadcast(starts), "bundle_score").filter(F.col("start") + F.col("c") > cut)
+    # At most one score is cut through; its rows are numbered by product in all tasks.
     inside = rows.filter(F.col("start") < cut)
-    rank = F.row_number().over(W.partitionBy("bundle_score").orderBy("product_id")) - 1
-    tail = inside.withColumn("_r", F.col("start") + rank).filter(F.col("_r") >= cut).drop("_r").unionByName(rows.filter(F.col("start") >= cut))
+    inside = number_rows(inside, "_r", order=["product_id"]).filter(F.col("start") + F.col("_r") >= cut).drop("_r")
+    tail = inside.unionByName(rows.filter(F.col("start") >= cut))
     return tail.drop("start", "c").orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("product_id"))), "product_id").limit(max(1, n))
 
 

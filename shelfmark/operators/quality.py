@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import parse as P
 from shelfmark.functions import specs as S
 from shelfmark.functions import text as T
+from shelfmark.plans.shared import shared_table
 
 PENALTIES = {
     "missing_brand": 15, "missing_axes_config": 10, "missing_screen": 5, "weird_title_chars": 5,
@@ -54,8 +55,10 @@ def anomalies(rows: DataFrame) -> DataFrame:
 
 
 def quality_report(df: DataFrame, confidences: DataFrame) -> dict[str, DataFrame]:
-    rows = dq_rows(df, confidences).persist()  # read by all four results; the caller may unpersist it
-    return {"rows_scored": rows, "brand_quality": by_cohort(rows, "brand"), "seller_quality": by_cohort(rows, "seller_id"), "anomalies": anomalies(rows)}
+    """Scored rows, brands and sellers from the lowest score up, and anomalies."""
+    rows = shared_table(dq_rows(df, confidences), "scored_quality")  # read by all four results
+    worst = lambda key: by_cohort(rows, key).orderBy("dq_score", F.col(key).asc_nulls_last())
+    return {"rows_scored": rows, "brand_quality": worst("brand"), "seller_quality": worst("seller_id"), "anomalies": anomalies(rows)}
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
