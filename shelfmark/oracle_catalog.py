@@ -116,11 +116,35 @@ A = f"""{E}, a0 AS (
   SELECT * EXCLUDE (inches), CASE WHEN inches = 0 OR {_valid('inches')} THEN inches END AS screen,
     coalesce(nullif(trim(lower(sub_category)), ''), 'unknown') AS b_sub, coalesce({_brand('brand')}, '_unknown') AS b_brand FROM a0
 ), b AS (SELECT *, {_bucket('b_sub', 'screen')} AS b_bucket FROM a)"""
-V = rf"""{A}, seg AS (
-  SELECT *, b_sub || '|' || b_brand || '|' || b_bucket AS group_id,
-    concat_ws('_', ram || 'gb', storage || 'gb', CASE WHEN color NOT IN ('', 'none') THEN color END) AS c1,
-    regexp_replace(printf('%.1f', CAST(round(screen + 1e-8, 1) AS DOUBLE)), '\.0$', '') AS c2, concat_ws('_', cpu, gpu) AS c3,
-    concat_ws('_', cond, CASE WHEN bundle THEN 'bundle' END) AS c4 FROM b
+def _tfidf(source: str, p: str = "") -> str:
+    """CTEs ending in w(row, term, weight) over source(row, text); their names begin with ``p``."""
+    return rf"""{p}src AS ({source}), {p}tok AS (SELECT row, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}\p{{M}}_]{{2,}}') AS t FROM {p}src),
+  {p}grams AS (SELECT row, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM {p}tok),
+  {p}tf AS (SELECT row, term, count(*) AS tf FROM {p}grams GROUP BY 1, 2), {p}n AS (SELECT count(*) AS n FROM {p}src),
+  {p}df AS (SELECT term, count(*) AS df FROM {p}tf GROUP BY 1 HAVING count(*) >= 3 AND count(*) <= 0.95 * (SELECT n FROM {p}n)),
+  {p}raw AS (SELECT row, term, (1 + ln(tf)) * (ln((1 + (SELECT n FROM {p}n)) / (1 + df)) + 1) AS w FROM {p}tf JOIN {p}df USING (term)),
+  {p}w AS (SELECT row, term, w / sqrt(sum(w * w) OVER (PARTITION BY row)) AS weight FROM {p}raw)"""
+
+
+_UNKNOWN = "CASE b_brand WHEN '_unknown' THEN 'unknown' ELSE b_brand END"
+#: The grouping: titles' cosines within blocks, their closure, medoids and ids; gr has a row a component.
+G = rf"""{A.replace("WITH ", "WITH RECURSIVE ", 1)}, {_tfidf(f"SELECT row_id AS row, {_title('name')} AS text FROM b", "t")},
+  tp AS (SELECT x.row AS i, y.row AS j FROM tw x JOIN tw y USING (term) JOIN b bx ON bx.row_id = x.row JOIN b bz ON bz.row_id = y.row
+    WHERE x.row < y.row AND bx.b_sub = bz.b_sub AND bx.b_brand = bz.b_brand AND bx.b_bucket = bz.b_bucket GROUP BY 1, 2 HAVING sum(x.weight * y.weight) >= 0.40 - 1e-9),
+  te AS (SELECT i, j FROM tp UNION ALL SELECT j, i FROM tp),
+  reach AS (SELECT row_id AS i, row_id AS j FROM b UNION SELECT r.i, te.j FROM reach r JOIN te ON r.j = te.i),
+  comp AS (SELECT i AS row_id, min(j) AS component FROM reach GROUP BY 1),
+  cl AS (SELECT component, row_id, term, weight FROM comp JOIN tw ON tw.row = comp.row_id), cs AS (SELECT component, term, sum(weight) AS c FROM cl GROUP BY 1, 2),
+  cn AS (SELECT component, sqrt(sum(c * c)) AS cn FROM cs GROUP BY 1), cx AS (SELECT component, row_id, sum(weight * c / cn) AS s FROM cl JOIN cs USING (component, term) JOIN cn USING (component) GROUP BY 1, 2),
+  med AS (SELECT component, row_id FROM comp LEFT JOIN cx USING (component, row_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY round(coalesce(s, 0), 9) DESC, row_id) = 1),
+  nm AS (SELECT med.component, b.*, nullif(b_brand, '_unknown') AS g_brand, {_family('name', _UNKNOWN)} AS family, nullif(regexp_extract(name, '\b(20[1-3]\d)\b', 1), '') AS generation FROM med JOIN b USING (row_id)),
+  nb AS (SELECT *, concat_ws('_', {_UNKNOWN}, {_slug('family')}, generation) AS base FROM nm),
+  gr AS (SELECT *, base || CASE WHEN row_number() OVER o = 1 THEN '' ELSE '-' || row_number() OVER o END AS group_id FROM nb WINDOW o AS (PARTITION BY base ORDER BY b_sub, b_brand, b_bucket, row_id))"""
+V = rf"""{G}, seg AS (
+  SELECT b.*, gr.group_id,
+    concat_ws('_', b.ram || 'gb', b.storage || 'gb', CASE WHEN b.color NOT IN ('', 'none') THEN b.color END) AS c1,
+    regexp_replace(printf('%.1f', CAST(round(b.screen + 1e-8, 1) AS DOUBLE)), '\.0$', '') AS c2, concat_ws('_', b.cpu, b.gpu) AS c3,
+    concat_ws('_', b.cond, CASE WHEN b.bundle THEN 'bundle' END) AS c4 FROM b JOIN comp USING (row_id) JOIN gr USING (component)
 ), v AS (
   SELECT *, group_id || '/' || coalesce(nullif(concat_ws('/', 'config:' || nullif(c1, ''), 'size:' || c2, 'silicon:' || nullif(c3, ''), 'packaging:' || nullif(c4, '')), ''), 'config:unk') AS variant_id FROM seg
 )"""
@@ -129,24 +153,34 @@ M = f"{E}, m AS (SELECT *, trim({_ml}) AS ml_text FROM e)"
 _WEIRD = r"""regexp_matches({t}, '[^\w\s\-+.:,/#()''"]')"""
 _pick = lambda values, n: "[" + ", ".join(f"'{x}'" for x in values) + f"][row_id % {n} + 1]"
 
-F_ = rf"""{V}, sized AS (
-  SELECT *, count(*) OVER (PARTITION BY variant_id) AS vn, count(*) OVER (PARTITION BY group_id) AS gn FROM v
+_cos = lambda k, p: f"""{p}l AS (SELECT v.{k}, v.row_id, term, weight FROM v JOIN mw ON mw.row = v.row_id), {p}s AS (SELECT {k}, term, sum(weight) AS c FROM {p}l GROUP BY 1, 2),
+  {p}n AS (SELECT {k}, sqrt(sum(c * c)) AS n FROM {p}s GROUP BY 1), {p}c AS (SELECT row_id, least(greatest(sum(weight * c / n), 0), 1) AS {p} FROM {p}l JOIN {p}s USING ({k}, term) JOIN {p}n USING ({k}) GROUP BY 1)"""
+_mode = lambda x, step, p: f"""{p}q AS (SELECT variant_id, round_even({x} / {step}, 0) AS q, count(*) AS c FROM v WHERE {x} IS NOT NULL GROUP BY 1, 2), {p}m AS (SELECT variant_id, max(c) / sum(c) AS {p} FROM {p}q GROUP BY 1)"""
+F_ = rf"""{V}, ml AS (SELECT row_id AS row, trim({_ml}) AS text FROM e), {_tfidf("SELECT * FROM ml", "m")}, {_cos('variant_id', 'vs')}, {_cos('group_id', 'gs')},
+  {_mode('ram', '8.0', 'mr')}, {_mode('storage', '128.0', 'ms')}, {_mode('screen', '0.5', 'mi')}, sized AS (
+  SELECT v.*, coalesce(vs, 0) AS vs, coalesce(gs, 0) AS gs, (coalesce(mr, 0) + coalesce(ms, 0) + coalesce(mi, 0)) / 3 AS ac,
+    count(*) OVER (PARTITION BY variant_id) AS vn, count(*) OVER (PARTITION BY group_id) AS gn
+  FROM v LEFT JOIN vsc USING (row_id) LEFT JOIN gsc USING (row_id) LEFT JOIN mrm USING (variant_id) LEFT JOIN msm USING (variant_id) LEFT JOIN mim USING (variant_id)
 ), f AS (
-  SELECT *, row_id % 11 / 10.0 AS vs, row_id % 7 / 6.0 AS gs,
+  SELECT *,
     (CAST(ram IS NOT NULL AS INT) + CAST(storage IS NOT NULL AS INT) + CAST(color IS NOT NULL AS INT) + CAST(screen IS NOT NULL AS INT) + CAST(cpu IS NOT NULL AS INT)) / 5 AS ap,
-    row_id % 4 / 3.0 AS ac, (exp(2 * vn / 5) - 1) / (exp(2 * vn / 5) + 1) AS vz, 1 - 2 / (exp(2 * least(gn, 3000) / 10) + 1) AS gz,
+    1 - 2 / (exp(2 * least(vn, 3000) / 5) + 1) AS vz, 1 - 2 / (exp(2 * least(gn, 3000) / 10) + 1) AS gz,
     CASE WHEN screen IS NOT NULL AND NOT {_valid('screen')} THEN 1.0 ELSE 0.0 END AS inv FROM sized
 ), s AS (
   SELECT *, round(1 / (1 + exp(-4 * (0.45 * vs + 0.20 * gs + 0.15 * ap + 0.10 * ac + 0.06 * vz + 0.04 * gz - 0.10 * inv - 0.5))), 4) AS confidence FROM f
 )"""
-D = rf"""{A}, fl AS (
+_EVIDENCE = """concat_ws(',', CASE WHEN vs >= 0.85 THEN 'variant_text_strong' WHEN vs >= 0.7 THEN 'variant_text_good' ELSE 'variant_text_weak' END,
+      CASE WHEN gs >= 0.8 THEN 'group_text_strong' WHEN gs >= 0.65 THEN 'group_text_good' END, CASE WHEN ap >= 0.8 THEN 'axes_complete' WHEN ap >= 0.4 THEN 'axes_partial' ELSE 'axes_sparse' END,
+      CASE WHEN ac >= 0.9 THEN 'variant_axes_consistent' WHEN ac >= 0.7 THEN 'variant_axes_mostly_consistent' END, CASE WHEN vz >= 0.7 THEN 'variant_popular' END,
+      CASE WHEN gz >= 0.7 THEN 'group_popular' END, CASE WHEN inv > 0.5 THEN 'screen_out_of_range' END)"""
+D = rf"""{F_}, fl AS (
   SELECT *, CAST(coalesce(brand, '') = '' AS INT) AS missing_brand, CAST(ram IS NULL AND storage IS NULL AS INT) AS missing_axes_config,
     CAST(screen IS NULL AS INT) AS missing_screen, CAST({_WEIRD.format(t='name')} AS INT) AS weird_title_chars,
     CAST(coalesce(ram < 2 OR ram > 128, false) AS INT) AS implausible_ram, CAST(coalesce(storage < 16 OR storage > 8192, false) AS INT) AS implausible_storage,
-    CAST(NOT {_valid('screen')} AS INT) AS screen_out_of_range, CASE WHEN row_id % 3 > 0 THEN row_id % 10 / 10.0 ELSE 0.0 END AS confidence FROM b
+    CAST(NOT {_valid('screen')} AS INT) AS screen_out_of_range, CASE WHEN row_id % 3 > 0 THEN confidence ELSE 0.0 END AS known FROM s
 ), dq AS (
-  SELECT *, CAST(greatest(0.0, least(100.0, 100 - 15 * missing_brand - 10 * missing_axes_config - 5 * missing_screen - 5 * weird_title_chars - 20 * implausible_ram
-    - 20 * implausible_storage - 10 * screen_out_of_range - CASE WHEN confidence < 0.5 THEN 10 WHEN confidence < 0.7 THEN 5 ELSE 0 END)) AS DOUBLE) AS dq_score FROM fl
+  SELECT * EXCLUDE (confidence, known), known AS confidence, CAST(greatest(0.0, least(100.0, 100 - 15 * missing_brand - 10 * missing_axes_config - 5 * missing_screen - 5 * weird_title_chars - 20 * implausible_ram
+    - 20 * implausible_storage - 10 * screen_out_of_range - CASE WHEN known < 0.5 THEN 10 WHEN known < 0.7 THEN 5 ELSE 0 END)) AS DOUBLE) AS dq_score FROM fl
 )"""
 _DQ_COLUMNS = ("dq_score", "confidence", "missing_brand", "missing_axes_config", "missing_screen", "weird_title_chars", "implausible_ram", "implausible_storage", "screen_out_of_range")
 _cohort = lambda k: f"{D} SELECT {k}, " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in _DQ_COLUMNS) + f" FROM dq GROUP BY {k}"
@@ -163,16 +197,6 @@ _CENT = f"""{_UNIT}, {_DIMS}, mean AS (SELECT label, dim, avg(x) AS v FROM long
   cos AS (SELECT vec_id, long.label, sum(x * v) AS c FROM long JOIN cent USING (label, dim) GROUP BY 1, 2)"""
 
 
-def _tfidf(source: str) -> str:
-    """CTEs ending in w(row, term, weight) over source(row, text)."""
-    return rf"""src AS ({source}), tok AS (SELECT row, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}\p{{M}}_]{{2,}}') AS t FROM src),
-  grams AS (SELECT row, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM tok),
-  tf AS (SELECT row, term, count(*) AS tf FROM grams GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM src),
-  df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 3 AND count(*) <= 0.95 * (SELECT n FROM n)),
-  raw AS (SELECT row, term, (1 + ln(tf)) * (ln((1 + (SELECT n FROM n)) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term)),
-  w AS (SELECT row, term, w / sqrt(sum(w * w) OVER (PARTITION BY row)) AS weight FROM raw)"""
-
-
 _LEX = "['soundbar','subwoofer','mount','wall mount','hdmi cable','cable','dock','bag','backpack','sleeve','case','cover','mouse','keyboard','stylus','headset','earbuds','headphones','webcam','mic','microphone','micro sd','sd card','memory card','usb drive','flash drive','adapter','charger','power adapter','pen','stand']"
 _PROBE_LEX = "['bag','backpack','sleeve','case','cover','mouse','mousepad','mouse pad','keyboard','combo','dock','docking','hub','stand','mount','stylus','pen','charger','adapter','power adapter','ac adapter','charger cable','cable','hdmi','usb','displayport','vga','headset','headphones','earbuds','earphones','mic','microphone','webcam','camera','tripod','sd card','micro sd','memory card','flash drive','usb drive','cleaning kit','cloth','screen protector','soundbar','subwoofer','speakers','remote','antenna','controller','gamepad']"
 B = rf"""{M}, d0 AS (
@@ -191,6 +215,11 @@ R = rf"""{E}, t AS (
     len(regexp_extract_all(t, '\b(\d+)[-\s]?(?:pack|pk)\b')) + len(regexp_extract_all(t, '\bset\s+of\s+(\d+)\b')) + len(regexp_extract_all(t, '\bx\s?(\d+)\b')) AS packs FROM t
 ), pr AS (SELECT *, CAST(2.0 * len(trig) + least(len(acc), 6) + 2.0 * packs AS DOUBLE) AS bundle_score FROM h)"""
 
+_mode_of = lambda x, p: f"{p}0 AS (SELECT group_id, {x} AS x, count(*) AS n FROM v WHERE {x} IS NOT NULL AND CAST({x} AS VARCHAR) NOT IN ('', 'none') GROUP BY 1, 2), {p} AS (SELECT group_id, arg_min(x, (-n, CAST(x AS VARCHAR))) AS {p} FROM {p}0 GROUP BY 1)"
+_PANEL = """CASE WHEN contains(lower(name), 'oled') THEN 'oled' WHEN contains(lower(name), 'ips') THEN 'ips_lcd' WHEN contains(lower(name), 'va') THEN 'va_lcd' WHEN contains(lower(name), 'lcd') THEN 'lcd' WHEN contains(lower(name), 'led') THEN 'led' END"""
+_BASE = f"""{_mode_of(_readable('cpu'), 'm_cpu')}, {_mode_of('round_even(screen, 1)', 'm_inch')}, {_mode_of(_PANEL, 'm_panel')}, {_mode_of('sub_category', 'm_sub')},
+  base AS (SELECT group_id, CASE WHEN lower(m_sub) = 'laptop' THEN 'laptop' END AS form_factor, CASE WHEN lower(m_sub) = 'tv' THEN m_panel END AS display_type, CAST(m_inch AS DOUBLE) AS screen_size_inches, m_cpu AS processor_family
+    FROM (SELECT DISTINCT group_id FROM v) LEFT JOIN m_cpu USING (group_id) LEFT JOIN m_inch USING (group_id) LEFT JOIN m_panel USING (group_id) LEFT JOIN m_sub USING (group_id))"""
 _html = "html"
 for _a, _b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
     _html = f"replace({_html}, '{_a}', '{_b}')"
@@ -277,10 +306,11 @@ ORACLE_SQL: dict[str, str] = {
     "cohesion": f"WITH {_CENT} SELECT vec_id AS row_id, round(least(greatest(c, 0), 1), 6) AS sim FROM cos",
     "axes_presence": f"{F_} SELECT product_id, CAST(ap AS DOUBLE) AS axes_presence FROM f",
     "confidence": f"{F_} SELECT product_id, confidence FROM s",
-    "evidence": f"""{F_} SELECT product_id, concat_ws(',', CASE WHEN vs >= 0.85 THEN 'variant_text_strong' WHEN vs >= 0.7 THEN 'variant_text_good' ELSE 'variant_text_weak' END,
-      CASE WHEN gs >= 0.8 THEN 'group_text_strong' WHEN gs >= 0.65 THEN 'group_text_good' END, CASE WHEN ap >= 0.8 THEN 'axes_complete' WHEN ap >= 0.4 THEN 'axes_partial' ELSE 'axes_sparse' END,
-      CASE WHEN ac >= 0.9 THEN 'variant_axes_consistent' WHEN ac >= 0.7 THEN 'variant_axes_mostly_consistent' END, CASE WHEN vz >= 0.7 THEN 'variant_popular' END,
-      CASE WHEN gz >= 0.7 THEN 'group_popular' END, CASE WHEN inv > 0.5 THEN 'screen_out_of_range' END) AS evidence FROM f""",
+    "evidence": f"{F_} SELECT product_id, {_EVIDENCE} AS evidence FROM f",
+    "scored_assignments": f"""{F_} SELECT product_id, group_id, variant_id, confidence, {_EVIDENCE} AS evidence, round(vs, 6) AS variant_sim, round(gs, 6) AS group_sim, round(CAST(ap AS DOUBLE), 6) AS axes_presence,
+      round(CAST(ac AS DOUBLE), 6) AS axes_consistency, round(vz, 6) AS variant_size_norm, round(gz, 6) AS group_size_norm, CAST(inv AS DOUBLE) AS screen_invalid_flag FROM s""",
+    "grouped_products": f"{G} SELECT b.product_id, gr.group_id FROM b JOIN comp USING (row_id) JOIN gr USING (component)",
+    "group_records": f"{G} SELECT group_id, g_brand AS brand, family, generation FROM gr",
     "bundle_weak_label": rf"""{M} SELECT product_id, CASE WHEN regexp_matches(lower(ml_text), '\b(bundle|kit|combo)\b') THEN 1
       WHEN regexp_matches(lower(ml_text), '\bwith\b') AND regexp_matches(lower(ml_text), '\b(mouse|bag|soundbar|case|keyboard|micro sd|sd card|dock|mount)\b') THEN 1
       WHEN regexp_matches(lower(ml_text), '\b(laptop|tv)\s+only\b') THEN 0 END AS label FROM m""",
@@ -294,20 +324,14 @@ ORACLE_SQL: dict[str, str] = {
     "non_bundle_sample": f"""{R}, o AS (SELECT product_id, bundle_score, row_number() OVER (ORDER BY bundle_score DESC, product_id) - 1 AS r FROM pr)
       SELECT product_id, bundle_score FROM o WHERE r >= (SELECT CAST(floor(0.6 * count(*)) AS BIGINT) FROM pr) ORDER BY md5('42:' || product_id), product_id LIMIT 50""",
     "accessory_term_counts": f"{R}, x AS (SELECT unnest(acc) AS term FROM pr) SELECT term, count(*) AS count FROM x GROUP BY 1",
-    "product_groups": f"""{V}, cm AS (SELECT group_id, {_readable('cpu')} AS c, count(*) AS n FROM v WHERE cpu IS NOT NULL GROUP BY 1, 2), cf AS (SELECT group_id, arg_min(c, (-n, c)) AS processor_family FROM cm GROUP BY 1)
-      SELECT group_id, min(brand) AS brand, min(sub_category) AS family, CASE WHEN min(b_sub) = 'laptop' THEN 'laptop' END AS form_factor, any_value(cf.processor_family) AS processor_family,
-      count(DISTINCT product_id) AS product_count, count(DISTINCT variant_id) AS variant_count FROM v LEFT JOIN cf USING (group_id) GROUP BY group_id""",
+    "product_groups": f"""{V}, {_BASE}, counts AS (SELECT group_id, count(DISTINCT product_id) AS product_count, count(DISTINCT variant_id) AS variant_count FROM v GROUP BY 1)
+      SELECT group_id, g_brand AS brand, family, generation, form_factor, display_type, screen_size_inches, processor_family, product_count, variant_count FROM gr JOIN base USING (group_id) JOIN counts USING (group_id)""",
     "run_summary": f"""{F_} SELECT count(*) AS total_products, count(DISTINCT group_id) AS total_groups, count(DISTINCT variant_id) AS total_variants, count(DISTINCT product_id) AS products_assigned,
       count(*) - count(DISTINCT product_id) AS products_unassigned, round(avg(confidence), 4) AS average_confidence, CAST(0.82 AS DOUBLE) AS group_threshold FROM s""",
     "group_product_counts": f"{V} SELECT group_id, count(DISTINCT product_id) AS product_count FROM v GROUP BY 1",
     "group_variant_counts": f"{V} SELECT group_id, count(DISTINCT variant_id) AS variant_count FROM v GROUP BY 1",
     "safe_mode": f"{A}, c AS (SELECT sub_category, cpu, count(*) AS n FROM a WHERE cpu IS NOT NULL GROUP BY 1, 2) SELECT sub_category, arg_min(cpu, (-n, cpu)) AS mode FROM c GROUP BY 1",
-    "base_specs": f"""{V}, cm AS (SELECT group_id, {_readable('cpu')} AS c, count(*) AS n FROM v WHERE cpu IS NOT NULL GROUP BY 1, 2), cf AS (SELECT group_id, arg_min(c, (-n, c)) AS processor_family FROM cm GROUP BY 1),
-      sm AS (SELECT group_id, round_even(screen, 1) AS x, count(*) AS n FROM v WHERE screen IS NOT NULL GROUP BY 1, 2), sf AS (SELECT group_id, arg_min(x, (-n, CAST(x AS VARCHAR))) AS screen_size_inches FROM sm GROUP BY 1),
-      pt AS (SELECT group_id, CASE WHEN contains(lower(name), 'oled') THEN 'oled' WHEN contains(lower(name), 'ips') THEN 'ips_lcd' WHEN contains(lower(name), 'va') THEN 'va_lcd' WHEN contains(lower(name), 'lcd') THEN 'lcd'
-        WHEN contains(lower(name), 'led') THEN 'led' END AS p, count(*) AS n FROM v GROUP BY 1, 2), pf AS (SELECT group_id, arg_min(p, (-n, p)) AS p FROM pt WHERE p IS NOT NULL GROUP BY 1)
-      SELECT group_id, CASE WHEN min(b_sub) = 'laptop' THEN 'laptop' END AS form_factor, CASE WHEN min(b_sub) = 'tv' THEN any_value(pf.p) END AS display_type, any_value(sf.screen_size_inches) AS screen_size_inches,
-      any_value(cf.processor_family) AS processor_family FROM v LEFT JOIN cf USING (group_id) LEFT JOIN sf USING (group_id) LEFT JOIN pf USING (group_id) GROUP BY group_id""",
+    "base_specs": f"{V}, {_BASE} SELECT group_id, form_factor, display_type, screen_size_inches, processor_family FROM base",
     "brand_quality": _cohort("brand"),
     "seller_quality": _cohort("seller_id"),
     "value_counts": f"{E} SELECT sub_category AS value, count(*) AS n FROM e GROUP BY 1",

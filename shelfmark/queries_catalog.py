@@ -19,6 +19,8 @@ from shelfmark.sources.catalog import catalog
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Similarity threshold of the queries on the embeddings table.
 TAU = 0.30
+#: And of the grouping of the derived catalog, whose titles have few words in common.
+GROUP_TAU = 0.40
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -43,10 +45,53 @@ def with_axes(spark: SparkSession, d: str) -> DataFrame:
     return axes.infer_axes(enriched(spark, d))
 
 
+_prepared: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def prepared(spark: SparkSession, d: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written once for a session and a folder: the queries that start from it share it."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _prepared:
+        _prepared[key] = shared_table(make(), name)
+    return _prepared[key]
+
+
+def grouped(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog with axes and the groups that the whole grouping finds."""
+    columns = ("row_id", "product_id", "seller_id", "brand", "sub_category", "name", "ml_text", "axes")
+
+    def make() -> DataFrame:
+        rows, groups = grouping.group_products(stored(with_axes(spark, d), *columns), GROUP_TAU)
+        _prepared[(spark.sparkContext.applicationId, d, "groups")] = groups
+        return rows
+
+    return prepared(spark, d, "grouped", make)
+
+
+def groups_of(spark: SparkSession, d: str) -> DataFrame:
+    """(group_id, brand, family, generation)"""
+    grouped(spark, d)
+    return _prepared[(spark.sparkContext.applicationId, d, "groups")]
+
+
 def with_variants(spark: SparkSession, d: str) -> DataFrame:
-    """The catalog with its block as its group, which SQL can follow."""
-    rows = grouping.with_block(with_axes(spark, d)).withColumn("group_id", F.concat_ws("|", *grouping.BLOCK)).drop(*grouping.BLOCK)
-    return variants.build_variants(rows)[0]
+    return variants.build_variants(grouped(spark, d))[0]
+
+
+def featured(spark: SparkSession, d: str) -> DataFrame:
+    """The grouped catalog with the features that a score is made of."""
+
+    def make() -> DataFrame:
+        rows = with_variants(spark, d)
+        weights = shared_table(vectors.tfidf(rows, "row_id", "ml_text"), "weights")
+        return scoring.features(rows, weights)
+
+    return prepared(spark, d, "featured", make)
+
+
+def stored(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` written once: plans that read them several times, or nest more expressions on theirs, then start from a scan."""
+    return shared_table(rows.select(*columns) if columns else rows, "rows")
 
 
 
@@ -198,10 +243,21 @@ def label_index(spark, d):
 
 @query
 def axis_model(spark, d):
-    rows = axes.parsed(enriched(spark, d))
+    """The class of RAM size that the text model gives every product, and how sure it is."""
+    rows = stored(axes.parsed(enriched(spark, d)), "row_id", "product_id", "ml_text", "p_ram")
+    rows = rows.join(models.TextVectors().fit(rows).transform(rows), "row_id")
     return models.TextClassifier().fit(rows, "p_ram").predict(rows, "guess").select("product_id", "p_ram", "guess", "guess_proba")
 
 
+@query
+def axes_imputed(spark, d):
+    """Axes after the models of all five labels have filled what parsing left open, with the source of each value."""
+    columns = ("row_id", "product_id", "name", "brand", "sub_category", "ml_text", "specs", "spec_entries", *models.AxisModeler.KINDS)
+    rows = stored(axes.parsed(enriched(spark, d)), *columns)
+    filled = models.AxisModeler().fit(rows).transform(rows)
+    return filled.select("product_id", *models.AxisModeler.KINDS, *[f"{k[2:]}_src" for k in models.AxisModeler.KINDS])
+
+
 def _axis(name_: str, *members: str) -> None:
     QUERIES[name_] = lambda spark, d: with_axes(spark, d).select("product_id", *[F.col(f"axes.{m}").alias(m.split(".")[1]) for m in members])
 
@@ -227,7 +283,7 @@ def tfidf_top_terms(spark, d):
 
 @query
 def bundle_model(spark, d):
-    rows = enriched(spark, d)
+    rows = stored(enriched(spark, d))
     return models.bundle_probability(rows, bundles.weak_label(), 40, 1).select("product_id", F.round("p_bundle", 4).alias("p_bundle"))
 
 
@@ -308,10 +364,15 @@ def group_ids(spark, d):
 @query
 def grouped_products(spark, d):
     """The whole grouping: blocks, title similarity, components, medoids and ids."""
-    rows, _ = grouping.group_products(with_axes(spark, d))
+    rows, _ = grouping.group_products(stored(with_axes(spark, d), "row_id", "product_id", "brand", "sub_category", "name", "axes"), GROUP_TAU)
     return rows.select("product_id", "group_id")
 
 
+@query
+def group_records(spark, d):
+    return groups_of(spark, d).select("group_id", "brand", "family", "generation")
+
+
 # ---------------------------------------------------------------- variants
 @query
 def variant_ids(spark, d):
@@ -360,35 +421,23 @@ def axes_presence(spark, d):
     return with_axes(spark, d).select("product_id", scoring.axes_presence().alias("axes_presence"))
 
 
-def _scored(spark, d):
-    """Features of the catalog where text similarity is that of embedding-like fixed values."""
-    rows = with_variants(spark, d)
-    sizes = lambda k, n: rows.groupBy(k).agg(F.count("*").alias(n))
-    rows = rows.join(sizes("variant_id", "vn"), "variant_id").join(sizes("group_id", "gn"), "group_id")
-    screen = F.col("axes.size.screen_inches")
-    return rows.withColumns({
-        "variant_sim": F.col("row_id") % 11 / 10.0, "group_sim": F.col("row_id") % 7 / 6.0, "axes_presence": scoring.axes_presence(),
-        "axes_consistency": F.col("row_id") % 4 / 3.0, "variant_size_norm": F.tanh(F.col("vn") / 5), "group_size_norm": F.tanh(F.col("gn") / 10),
-        "screen_invalid_flag": (screen.isNotNull() & ~P.screen_valid(F.col("sub_category"), screen, F.col("name"))).cast("double"),
-    })
-
-
 @query
 def confidence(spark, d):
-    return _scored(spark, d).select("product_id", F.round(scoring.confidence(), 4).alias("confidence"))
+    return featured(spark, d).select("product_id", F.round(scoring.confidence(), 4).alias("confidence"))
 
 
 @query
 def evidence(spark, d):
-    return _scored(spark, d).select("product_id", scoring.evidence().alias("evidence"))
+    return featured(spark, d).select("product_id", scoring.evidence().alias("evidence"))
 
 
 @query
 def scored_assignments(spark, d):
-    """Assignments scored with TF-IDF cohesion over the catalog."""
-    rows = shared_table(with_variants(spark, d), "scored_rows")
+    """Assignments scored with TF-IDF cohesion over the catalog, with their features."""
+    rows = with_variants(spark, d)
     weights = shared_table(vectors.tfidf(rows, "row_id", "ml_text"), "weights")
-    return scoring.score(rows, weights, return_features=True)
+    scored = scoring.score(rows, weights, return_features=True)
+    return scored.withColumns({f: F.round(f, 6) for f in scoring.FEATURES})
 
 
 # ---------------------------------------------------------------- bundles and probe
@@ -401,6 +450,14 @@ def bundle_detect(spark, d):
     return bundles.detect_bundles(enriched(spark, d)).withColumn("accessories", F.array_join("accessories", ","))
 
 
+@query
+def bundle_detect_model(spark, d):
+    """Bundles with the probability of the model that is trained on the weak labels."""
+    rows = stored(enriched(spark, d))
+    found = models.bundle_probability(rows, bundles.weak_label(), 40, 1)
+    return bundles.detect_bundles(found, F.col("p_bundle")).withColumn("accessories", F.array_join("accessories", ","))
+
+
 @query
 def apply_bundle(spark, d):
     rows = with_axes(spark, d)
@@ -434,14 +491,12 @@ def accessory_term_counts(spark, d):
 # ---------------------------------------------------------------- reports
 @query
 def product_groups(spark, d):
-    rows = with_variants(spark, d)
-    groups = rows.groupBy("group_id").agg(F.min("brand").alias("brand"), F.min("sub_category").alias("family"), F.lit(None).cast("string").alias("generation"))
-    return reports.product_groups(rows, groups).select("group_id", "brand", "family", "form_factor", "processor_family", "product_count", "variant_count")
+    return reports.product_groups(with_variants(spark, d), groups_of(spark, d))
 
 
 @query
 def run_summary(spark, d):
-    return reports.run_summary(_scored(spark, d).withColumn("confidence", F.round(scoring.confidence(), 4)))
+    return reports.run_summary(featured(spark, d).withColumn("confidence", F.round(scoring.confidence(), 4)))
 
 
 @query
@@ -461,13 +516,13 @@ def safe_mode(spark, d):
 
 @query
 def base_specs(spark, d):
-    return reports.base_specs(with_variants(spark, d))
+    return reports.base_specs(grouped(spark, d))
 
 
 def _dq(spark, d):
-    rows = with_axes(spark, d)
-    conf = rows.select("product_id", F.when(F.col("row_id") % 3 > 0, F.col("row_id") % 10 / 10.0).alias("confidence"))
-    return quality.dq_rows(rows, conf)
+    """Data quality with the confidences of an assignments table that lacks every third product."""
+    scored = featured(spark, d)
+    return quality.dq_rows(grouped(spark, d), scored.filter("row_id % 3 > 0").select("product_id", F.round(scoring.confidence(), 4).alias("confidence")))
 
 
 def _means(df, key):
