@@ -1,36 +1,28 @@
 """Language-model scores by a subword lattice.
 
-A word is the byte string of a space and its letters, A-Z lower-cased. An
-existing vocabulary's pieces, weighted by its scores (ranks, read as a Zipf
-law), span a lattice of all segmentations of that string; a forward recursion in
-log space sums them into the word's marginal. ``ROUNDS`` of
-expectation-maximisation (forward-backward over all training words) fit the
-weights to the corpus; the vocabulary itself is never changed.
-
-``score`` is the marginal of the whole text: as no piece goes on over a space, the
-sum over all segmentations of a text is the product of its words' sums, times one
-end. Its weights are fitted to all words as often as they come.
-
-``urn_score`` is that of a variant on whole words, in which a lattice with an end
-after every word, fitted to each distinct word once, only spells the words that
-counts do not cover. With c counts of a token, N of all, T distinct words and the
-discount D,
-
-    P(word) = max(c - D, 0) / N + D T / N * P_lattice(word),   P(end) = c_end / N.
-
-Words come back within a text, so the text's probability there is that of a Polya urn
-that starts with ``CONCENTRATION`` tokens dealt by P and gets back each word it
-gives with one more: (alpha P(w) + times seen before) / (alpha + words before) for
-each word, times one end. It does not depend on the words' order. The counts
-of all words of all documents are one table. Its ``FREQUENT`` most frequent short
-words travel with the task as a dictionary of bounded size; all others meet their
-scores in a join on the word, whose keys are rare by construction.
+A text is read as its words, A-Z lower-cased, each with a space before it, and one
+end. An existing vocabulary's pieces span a lattice of all segmentations of a word's
+bytes. Where a word may begin, the model deals either the end or a piece that begins
+with the space; after that, pieces without one; and with every piece it says whether
+the word goes on or stops. So each piece has two weights, and
+
+    P(text) = P(end) * product over words of the sum over segmentations of the product of weights,
+
+in which all texts together have probability 1 and a text's sum over all its
+segmentations is the product of its words' sums. A forward recursion in log space takes
+a word's sum. The weights start from the vocabulary's own scores (its ranks, read as a
+Zipf law); ``ROUNDS`` of expectation-maximisation (forward-backward over all training
+words, as often as they come) fit them to the corpus. The vocabulary is never changed.
+
+The counts of all words of all documents are one table. Its ``FREQUENT`` most frequent
+words of up to ``FREQUENT_BYTES`` bytes, and ``FREQUENT_LONG`` of up to ``LONG_BYTES``,
+travel with the task as a dictionary of bounded size; all others meet their scores in a
+join on the word, of which adaptive execution splits a partition that grows hot.
 
 Cases: a null or empty text is one end; a null doc_id counts as held out; repeated
 rows learn and score like others and each get a row; without training documents
-the weights are those of the ranks, and in the variant an end and the lattice's
-words have probability 1/2 each; an empty table gives an
-empty result; extra columns are ignored.
+the weights are those of the ranks; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +31,8 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,28 +41,34 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.bpe import default_vocabulary, load_ranks
 from shelfmark.llm.textbytes import mix64
-from shelfmark.plans.shared import shared_table
+from shelfmark.plans.shared import drop_shared, shared_table
 
-ROUNDS = 2
-DISCOUNT = 0.75
-CONCENTRATION = 1000.0
-#: Words sent along with the tasks, of at most FREQUENT_BYTES bytes: some 3 MB.
+ROUNDS = 4
+#: Words sent along with the tasks, and the bytes that each may have: some 3 MB, and 4 MB at most.
 FREQUENT, FREQUENT_BYTES = 40_000, 32
+FREQUENT_LONG, LONG_BYTES = 1000, 4096
+#: What every weight is worth beside the counts.
+SMOOTHING = 0.1
 #: Words that a task counts before it passes them on.
 COUNTED_AT_ONCE = 200_000
+#: Words that are looked up in the lattice at once.
+WORDS_AT_ONCE = 50_000
+#: Bits of a hash by which most strings that are no piece are told from pieces.
+LEADING_BITS = 18
 END = b""
 _U = np.uint64
 _LOG10 = math.log(10)
 
 
 class Lattice:
-    """Pieces with log weights, and the recursions over batches of words."""
+    """Pieces with log weights of going on and of stopping after them, that of the end, and the recursions over batches of words."""
 
-    def __init__(self, pieces: list[bytes], log_weights: np.ndarray, log_end: float):
-        self.pieces, self.log_weights, self.log_end = pieces, log_weights, log_end
+    def __init__(self, pieces: list[bytes], log_open: np.ndarray, log_last: np.ndarray, log_end: float):
+        self.pieces, self.log_open, self.log_last, self.log_end = pieces, log_open, log_last, log_end
 
-    def _tables(self):
-        """Per piece length: sorted hashes and the numbers of their pieces."""
+    @cached_property
+    def tables(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per piece length: sorted hashes, the numbers of their pieces, and which leading bits occur among the hashes."""
         by: dict[int, list[int]] = {}
         for i, p in enumerate(self.pieces):
             by.setdefault(len(p), []).append(i)
@@ -77,12 +77,15 @@ class Lattice:
             body = np.frombuffer(b"".join(self.pieces[i] for i in numbers), np.uint8).reshape(-1, n)
             h = _hash_columns([body[:, k] for k in range(n)])
             order = np.argsort(h)
-            out[n] = h[order], np.array(numbers, np.int64)[order]
+            some = np.zeros(1 << LEADING_BITS, bool)
+            some[h >> _U(64 - LEADING_BITS)] = True
+            out[n] = h[order], np.array(numbers, np.int32)[order], some
         return out
 
     def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places of words, piece at [word, end, length]) for words of one byte length at a time."""
-        tables, longest_piece = self._tables(), max(map(len, self.pieces))
+        tables = self.tables
+        longest_piece = max(tables)
         by: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by.setdefault(len(w) + 1, []).append(i)
@@ -101,10 +104,13 @@ class Lattice:
                         h = h[:, : n - length + 1] + (body[:, length - 1 :].astype(_U) + _U(1)) * _U(power)
                     power = power * _BASE & ((1 << 64) - 1)
                     if length in tables:
-                        keys, numbers = tables[length]
+                        keys, numbers, leading = tables[length]
                         mixed = mix64(h)
+                        at, start = np.nonzero(leading[mixed >> _U(64 - LEADING_BITS)])
+                        mixed = mixed[at, start]
                         to = np.minimum(np.searchsorted(keys, mixed), len(keys) - 1)
-                        piece[:, length:, length] = np.where(keys[to] == mixed, numbers[to], none)
+                        hit = keys[to] == mixed
+                        piece[at[hit], start[hit] + length, length] = numbers[to[hit]]
                 yield np.array(some), piece
 
     @staticmethod
@@ -132,49 +138,31 @@ class Lattice:
         return beta[:, :ends]
 
     def read(self, piece: np.ndarray) -> np.ndarray:
-        """The log weights of ``piece``, as ``batches`` numbers them."""
-        return np.append(self.log_weights, -np.inf)[piece]
+        """The log weights of ``piece``, as ``batches`` numbers them; a piece that ends where its word does is its last."""
+        w = np.append(self.log_open, -np.inf)[piece]
+        w[:, -1] = np.append(self.log_last, -np.inf)[piece[:, -1]]
+        return w
 
     def log_marginal(self, words: list[bytes]) -> np.ndarray:
-        """Natural log of the sum over all segmentations of each word, without an end."""
-        return log_marginals([self], words)[0]
-
-    def log_ended(self) -> float:
-        """What an end after every word adds: a word has at least one piece, so what ends at once is left out of the whole."""
-        return self.log_end - math.log1p(-math.exp(self.log_end))
-
-    def log_probability(self, words: list[bytes]) -> np.ndarray:
-        """Natural log of each word's marginal probability."""
-        return self.log_marginal(words) + self.log_ended()
-
-    def expected(self, words: list[bytes]) -> np.ndarray:
-        """Expected number of each piece over all segmentations of all words, and of ends."""
-        return expected([self], words, [np.ones(len(words))])[0]
-
-
-def log_marginals(models: list[Lattice], words: list[bytes]) -> np.ndarray:
-    """``log_marginal`` of each of several models with the same pieces, which are looked up once."""
-    out = np.zeros((len(models), len(words)))
-    for places, piece in models[0].batches(words):
-        for k, m in enumerate(models):
-            out[k, places] = m.forward(m.read(piece))[:, -1]
-    return out
-
-
-def expected(models: list[Lattice], words: list[bytes], times: list[np.ndarray]) -> np.ndarray:
-    """``expected`` of each of several models with the same pieces, in which each word counts ``times``."""
-    none = len(models[0].pieces)
-    out = np.zeros((len(models), none + 1))
-    for places, piece in models[0].batches(words):
-        at, end, length = np.nonzero(piece != none)
-        found = piece[at, end, length]
-        for k, m in enumerate(models):
-            w = m.read(piece)
-            alpha, beta = m.forward(w), m.backward(w)
-            share = np.exp(alpha[at, end - length] + w[at, end, length] + beta[at, end] - alpha[at, -1]) * times[k][places[at]]
-            out[k, :-1] += np.bincount(found, weights=share, minlength=none)
-    out[:, -1] = [t.sum() for t in times]
-    return out
+        """Natural log of each word's sum over all segmentations."""
+        out = np.zeros(len(words))
+        for places, piece in self.batches(words):
+            out[places] = self.forward(self.read(piece))[:, -1]
+        return out
+
+    def expected(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
+        """(2, pieces): how often each piece goes on and is last over all segmentations of words that come ``times``."""
+        none = len(self.pieces)
+        out = np.zeros((2, none))
+        for places, piece in self.batches(words):
+            at, end, length = np.nonzero(piece != none)
+            w = self.read(piece)
+            alpha, beta = self.forward(w), self.backward(w)
+            share = np.exp(alpha[at, end - length] + w[at, end, length] + beta[at, end] - alpha[at, -1]) * times[places][at]
+            found, last = piece[at, end, length], end == piece.shape[1] - 1
+            for k, some in enumerate((~last, last)):
+                out[k] += np.bincount(found[some], weights=share[some], minlength=none)
+        return out
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -196,36 +184,25 @@ def _logsum(x: np.ndarray) -> np.ndarray:
         return base + np.log(np.exp(x - base[:, None]).sum(axis=1))
 
 
+def _normalised(pieces: list[bytes], open_: np.ndarray, last: np.ndarray, end: float) -> Lattice:
+    """The lattice of these weights: one distribution over the end and what a word may begin with, one over what may follow in it."""
+    first = np.array([p[0] == 0x20 for p in pieces])
+    last = np.where([p == b" " for p in pieces], 0.0, last)  # a word has more than its space
+    begin, inside = (open_ + last)[first].sum() + end, (open_ + last)[~first].sum()
+    whole = np.where(first, begin, inside)
+    with np.errstate(divide="ignore"):
+        return Lattice(pieces, np.log(open_ / whole), np.log(last / whole), math.log(end / begin))
+
+
 def initial_lattice(ranks: dict[bytes, int]) -> Lattice:
     """The vocabulary's pieces that can occur in a lower-cased word, weighted by rank; all single bytes are among them."""
-    space = set(b" \t\n\v\f\r")
-    usable = [p for p in ranks if not space & set(p[1:]) and p[0] not in b"\t\n\v\f\r" and not any(65 <= c <= 90 for c in p)]
-    pieces = sorted({*usable, *(bytes([c]) for c in range(256))}, key=lambda p: (ranks.get(p, len(ranks)), p))
+    apart = {0x20, *range(9, 14)}
+    never = {*range(9, 14), *range(65, 91)}
+    usable = [p for p in ranks if not apart & set(p[1:]) and not never & set(p)]
+    pieces = sorted({*usable, *(bytes([c]) for c in range(256) if c not in never)}, key=lambda p: (ranks.get(p, len(ranks)), p))
     order = np.array([len(ranks) if len(p) == 1 else ranks[p] for p in pieces], np.float64)
     weight = 1 / (order + 50)
-    end = weight.sum() / 3  # about three pieces a word
-    total = weight.sum() + end
-    return Lattice(pieces, np.log(weight / total), math.log(end / total))
-
-
-def _refit(lattice: Lattice, counts: np.ndarray) -> Lattice:
-    smoothed = counts + 0.1
-    logs = np.log(smoothed / smoothed.sum())
-    return Lattice(lattice.pieces, logs[:-1], float(logs[-1]))
-
-
-def drawn(log10_p: float, times: int) -> float:
-    """log10 of the urn's weights over ``times`` draws of a word."""
-    out = math.log10(CONCENTRATION) + log10_p
-    if times > 1:
-        start = CONCENTRATION * 10.0**log10_p
-        out += (math.lgamma(start + times) - math.lgamma(start + 1)) / _LOG10
-    return out
-
-
-def urn_size(words: int) -> float:
-    """log10 of the product of the urn's sizes over ``words`` draws."""
-    return (math.lgamma(CONCENTRATION + words) - math.lgamma(CONCENTRATION)) / _LOG10
+    return _normalised(pieces, weight / 2, weight / 2, weight.sum() / 100)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -268,126 +245,135 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_counted, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _fit_lattices(counts: DataFrame, ranks: dict[bytes, int], rounds: int, texts: int) -> tuple[Lattice, Lattice]:
-    """The lattice of whole texts, fitted to every word as often as it comes and one end a text, and that of
-    unseen words, fitted to every distinct word once and one end a word."""
-    of_texts = of_words = initial_lattice(ranks)
+def _many(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The words and counts of several batches, up to ``WORDS_AT_ONCE`` words and some more."""
+    words: list[bytes] = []
+    counts: list[np.ndarray] = []
+    for batch in batches:
+        words += batch.column("word").to_pylist()
+        counts.append(batch.column("c").to_numpy())
+        if len(words) >= WORDS_AT_ONCE:
+            yield words, np.concatenate(counts)
+            words, counts = [], []
+    if words:
+        yield words, np.concatenate(counts)
+
+
+def fit_lattice(counts: DataFrame, ranks: dict[bytes, int], rounds: int, texts: int) -> Lattice:
+    """The lattice fitted to every word of counts(word, c) as often as it comes, and to ``texts`` ends."""
+    lattice = initial_lattice(ranks)
     learn = counts.filter((F.col("c") > 0) & (F.octet_length("word") > 0)).select("word", "c")
     for _ in range(rounds):
-        shared = counts.sparkSession.sparkContext.broadcast((of_texts.pieces, *((m.log_weights, m.log_end) for m in (of_texts, of_words))))
+        shared = counts.sparkSession.sparkContext.broadcast((lattice.pieces, lattice.log_open, lattice.log_last, lattice.log_end))
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            pieces, *fitted = shared.value
-            models, total = [Lattice(pieces, *m) for m in fitted], np.zeros((2, len(pieces) + 1))
-            for batch in batches:
-                words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy().astype(np.float64)
-                total += expected(models, words, [c, np.ones(len(words))])
+            model = Lattice(*shared.value)
+            total = np.zeros((2, len(model.pieces)))
+            for words, c in _many(batches):
+                total += model.expected(words, c.astype(np.float64))
             some = np.flatnonzero(total.any(axis=0))
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], ["piece", "t", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], ["piece", "o", "l"])
 
         # At most one row a piece of the vocabulary comes back.
-        rows = learn.mapInArrow(expect, "piece long, t double, w double").groupBy("piece").agg(F.sum("t").alias("t"), F.sum("w").alias("w")).toArrow()
+        rows = learn.mapInArrow(expect, "piece long, o double, l double").groupBy("piece").agg(F.sum("o").alias("o"), F.sum("l").alias("l")).toArrow()
         if not rows.num_rows:
             break
-        found = np.zeros((2, len(of_texts.pieces) + 1))
-        for k, c in enumerate("tw"):
-            found[k, rows.column("piece").to_numpy()] = rows.column(c).to_numpy()
-        found[0, -1] = texts
-        of_texts, of_words = _refit(of_texts, found[0]), _refit(of_words, found[1])
-    return of_texts, of_words
+        found = np.full((2, len(lattice.pieces)), SMOOTHING)
+        for k, c in enumerate("ol"):
+            found[k, rows.column("piece").to_numpy()] += rows.column(c).to_numpy()
+        lattice = _normalised(lattice.pieces, *found, texts + SMOOTHING)
+    return lattice
 
 
-def _word_scores(counts: DataFrame, of_texts: Lattice, of_words: Lattice, n: int, v: int, n_words: int) -> DataFrame:
-    """(word, known, base, score, urn): the log10 probabilities of every token."""
-    shared = counts.sparkSession.sparkContext.broadcast((of_texts.pieces, *((m.log_weights, m.log_end) for m in (of_texts, of_words))))
+def _word_scores(counts: DataFrame, lattice: Lattice, n: int, v: int) -> DataFrame:
+    """(word, known, base, score): the log10 probabilities of every token."""
+    shared = counts.sparkSession.sparkContext.broadcast((lattice.pieces, lattice.log_open, lattice.log_last, lattice.log_end))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, *fitted = shared.value
-        text_model, word_model = (Lattice(pieces, *m) for m in fitted)
-        for whole in batches:
-            for a in range(0, whole.num_rows, 1 << 14):
-                batch = whole.slice(a, 1 << 14)
-                words, c = batch.column("word").to_pylist(), batch.column("c").to_numpy()
-                end = np.array([w == END for w in words])
-                base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
-                of_text, of_word = log_marginals([text_model, word_model], words)
-                spelled = of_word + word_model.log_ended()
-                score = np.where(end, text_model.log_end, of_text)
-                if n:
-                    seen = np.where(end, c, np.maximum(c - DISCOUNT, 0)) / n
-                    rest = math.log(DISCOUNT * n_words / n) if n_words else math.log(0.5)
-                    with np.errstate(divide="ignore"):
-                        urn = np.where(end, np.log(np.maximum(seen, 1e-300)), np.logaddexp(np.log(seen), rest + spelled))
-                else:
-                    urn = np.where(end, math.log(0.5), math.log(0.5) + spelled)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("word"), pa.array((c > 0).astype(np.int64)), pa.array(base), pa.array(score / _LOG10), pa.array(urn / _LOG10)],
-                    ["word", "known", "base", "score", "urn"],
-                )
-
-    return counts.mapInArrow(run, "word binary, known long, base double, score double, urn double")
+        model = Lattice(*shared.value)
+        for words, c in _many(batches):
+            base = np.log10((c + 0.1) / (n + 0.1 * (v + 1)))
+            spelled = [w for w in words if w != END]
+            score = np.full(len(words), model.log_end)
+            score[[w != END for w in words]] = model.log_marginal(spelled)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array((c > 0).astype(np.int64)), pa.array(base), pa.array(score / _LOG10)], ["word", "known", "base", "score"]
+            )
+
+    return counts.mapInArrow(run, "word binary, known long, base double, score double")
+
+
+def _frequent(counts: DataFrame, scores: DataFrame, frequent: int) -> pa.Table:
+    """The scores of the end and of the words that come most often, of bounded number and size."""
+    size, order = F.octet_length("word"), (F.octet_length("word") > 0, F.col("c").desc(), "word")  # the end is first
+    short = counts.filter(size <= FREQUENT_BYTES).orderBy(*order).limit(frequent)
+    long = counts.filter((size > FREQUENT_BYTES) & (size <= LONG_BYTES)).orderBy(*order).limit(min(frequent, FREQUENT_LONG))
+    top = short.unionByName(long).select("word")
+    return scores.join(F.broadcast(top), "word", "left_semi").toArrow()
 
 
 def score_texts(docs: DataFrame, vocabulary: str | None = None, rounds: int = ROUNDS, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, urn_score) per row of docs(doc_id, text)."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of docs(doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = shared_table(word_counts(docs), "word_counts")
     size = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"),
-        F.count_if((F.col("c") > 0) & (F.octet_length("word") > 0)).alias("w"),
         F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("c"))), F.lit(0)).alias("texts"),
     ).first()
     n = size["n"]
-    lattices = _fit_lattices(counts, load_ranks(vocabulary or default_vocabulary()), rounds, size["texts"])
-    scores = shared_table(_word_scores(counts, *lattices, n, size["v"], size["w"]), "word_scores")
-    # No word is shorter than the end, so the end is always among them.
-    short = counts.filter(F.octet_length("word") <= FREQUENT_BYTES)
-    top = short.orderBy(F.octet_length("word") > 0, F.col("c").desc(), "word").limit(frequent).select("word")
-    table = scores.join(F.broadcast(top), "word", "left_semi").toArrow()
-    known = dict(zip(table.column("word").to_pylist(), zip(*(table.column(c).to_pylist() for c in ("known", "base", "score", "urn")), strict=True), strict=True))
-    shared = spark.sparkContext.broadcast(known)
+    lattice = fit_lattice(counts, load_ranks(vocabulary or default_vocabulary()), rounds, size["texts"])
+    scores = shared_table(_word_scores(counts, lattice, n, size["v"]), "word_scores")
+    table = _frequent(counts, scores, frequent)
+    drop_shared(counts)
+    place = {w: i for i, w in enumerate(table.column("word").to_pylist())}
+    # A word that is not there has the last place, which adds nothing.
+    values = np.zeros((3, len(place) + 1))
+    for k, c in enumerate(("known", "base", "score")):
+        values[k, :-1] = table.column(c).to_numpy()
+    shared = spark.sparkContext.broadcast((place, values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per document one row of what the frequent words add up to, and a row for each other word."""
-        get = shared.value.get
-        names = ["doc_id", "th", "copies", "word", "n", "known", "base", "score", "urn"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        place, values = shared.value
+        rare = len(place)
+        names = ["doc_id", "th", "copies", "word", "n", "known", "base", "score"]
+
+        def rows(ids, copies, words, times, sums=None):
+            """Rows of the documents ``ids``, (doc_id, th); without sums, of rare words."""
+            more = [pa.nulls(len(words), k) for k in (pa.int64(), pa.float64(), pa.float64())] if sums is None else [pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:])]
+            fixed = [pa.array([i for i, _ in ids], pa.int64()), pa.array([t for _, t in ids], pa.int64()), pa.array([copies] * len(words), pa.int64())]
+            return pa.RecordBatch.from_arrays([*fixed, pa.array(words, pa.binary()), pa.array(times, pa.int64()), *more], names)
+
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for at, (doc_id, th, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text"), strict=True)):
-                words = Counter(_words(text.as_py()))
-                words[END] += 1
-                tokens, seen, base, score, urn = 0, 0, 0.0, 0.0, 0.0
-                for w, k in words.items():
-                    tokens += k
-                    if (e := get(w)) is not None:
-                        seen, base, score = seen + k * e[0], base + k * e[1], score + k * e[2]
-                        urn += e[3] if w == END else drawn(e[3], k)
-                    else:
-                        for c, x in zip(out, (doc_id, th, 0, w, k, None, None, None, None), strict=True):
-                            c.append(x)
-                urn -= urn_size(tokens - 1)
-                # White space is in no word: this row meets nothing in the join, and spreads evenly over it.
-                for c, x in zip(out, (doc_id, th, 1, b" %d %d" % (doc_id or 0, th), tokens, seen, base, score, urn), strict=True):
-                    c.append(x)
-                if len(out[0]) > 50_000 or at + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
-                    out = [[] for _ in names]
-
-    rows = docs.withColumn("th", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, th long, copies long, word binary, n long, known long, base double, score double, urn double"
-    )
-    again = f"aggregate(sequence(1, cast(n as int) - 1), 0D, (a, k) -> a + log10({CONCENTRATION}D * pow(10D, urn) + k))"
-    rare = F.expr(f"log10({CONCENTRATION}D) + urn + case when n > 1 then {again} else 0D end")
-    own = rows.withColumnsRenamed({"known": "k0", "base": "b0", "score": "s0", "urn": "u0"}).join(scores, "word", "left")
+            ids = list(zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), strict=True))
+            totals, tokens = np.zeros((3, len(ids))), []
+            of, words, times = [], [], []
+            for k, text in enumerate(batch.column("text")):
+                found = _words(text.as_py())
+                found.append(END)
+                tokens.append(len(found))
+                at = np.fromiter(map(place.get, found, repeat(rare)), np.int64, len(found))
+                totals[:, k] = values[:, at].sum(axis=1)
+                others = Counter([found[i] for i in np.flatnonzero(at == rare)])
+                of += [ids[k]] * len(others)
+                words += others.keys()
+                times += others.values()
+                if len(words) > 50_000:
+                    yield rows(of, 0, words, times)
+                    of, words, times = [], [], []
+            yield rows(of, 0, words, times)
+            # White space is in no word: these rows meet nothing in the join, and spread evenly over it.
+            yield rows(ids, 1, [b" %d %d" % (i or 0, t) for i, t in ids], tokens, totals)
+
+    rows = docs.withColumn("th", F.xxhash64("text")).mapInArrow(run, "doc_id long, th long, copies long, word binary, n long, known long, base double, score double")
+    own = rows.withColumnsRenamed({"known": "k0", "base": "b0", "score": "s0"}).join(scores, "word", "left")
     summed = own.groupBy("doc_id", "th").agg(
         F.sum("copies").alias("copies"),
         F.sum(F.when(F.col("copies") > 0, F.col("n"))).alias("n"),
         F.sum(F.coalesce("k0", F.col("n") * F.col("known"), F.lit(0))).alias("known"),
         F.sum(F.coalesce("b0", F.col("n") * F.col("base"))).alias("base"),
         F.sum(F.coalesce("s0", F.col("n") * F.col("score"))).alias("score"),
-        F.sum(F.coalesce("u0", rare)).alias("urn"),
     )
     whole = lambda c: (F.col(c) / F.col("copies")).cast("long").alias(f"n_{c}" if c == "known" else "n_tokens")
     out_id = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
@@ -395,10 +381,9 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None, rounds: int = RO
     return summed.withColumn("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(
         "doc_id", out_id.alias("held_out"), whole("n"), whole("known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"),
-        (F.col("urn") / F.col("copies")).alias("urn_score"),
     )
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base, lattice and urn scores of all whole texts."""
+    """Base and lattice scores of all whole texts."""
     return score_texts(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
