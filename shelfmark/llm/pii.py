@@ -1,9 +1,9 @@
 """Personal data and the terms that disclose it (native: DataFrame functions only).
 
 Protected entities are the e-mail addresses, IP addresses, card numbers and phone
-numbers in the texts. Over the whole corpus, the co-occurrence of a term t with an
-entity c is measured by pointwise mutual information in documents; relative to
-the entity's information content IC(c) = -log2 p(c),
+numbers in the texts. Over the whole corpus, the co-occurrence of a term t (a whole word of any length) with
+an entity c is measured by pointwise mutual information in documents, which are the
+rows; relative to the entity's information content IC(c) = -log2 p(c),
 
     disclosure(t, c) = PMI(t, c) / IC(c)
 
@@ -12,12 +12,15 @@ counted over whole documents, however far apart they stand. A term discloses c
 if that is at least ``DISCLOSURE`` and if at least ``MIN_CONTEXTS`` different
 surroundings of c show it, so that copies of one passage count once: those
 that have the term in them, and one of every document that has both.
-A disclosing term is generalised to its class (its first letters) where the class
-discloses less than the threshold, else it is removed; either way its
+
+A disclosing term is generalised to its role, where the corpus shows one: the word that
+leads at least ``ROLE_SHARE`` of the term's occurrences that a word leads (ties to the
+smaller), if that word does not itself disclose anything. ``agent Zorblatt`` becomes
+``agent [agent]``. Else the term is removed, as ``[TERM]``. Either way all its
 occurrences become spans in every document, next to the pattern spans.
 
-Cases: a null or empty text has no spans; a null doc_id is told from others by
-its text; repeated rows have equal results; an empty table gives an empty
+Cases: a null or empty text has no spans; a null doc_id is a value like others; repeated rows
+count as so many documents and have equal results; an empty table gives an empty
 result; extra columns pass through, and columns that the operator adds replace
 columns of the same name.
 """
@@ -41,10 +44,11 @@ HINTS = {"email": "@", "phone": "+"}
 
 #: Letters on either side of an entity that tell its surroundings apart.
 CONTEXT = 100
-TERM = r"\p{L}[\p{L}\p{M}\p{N}]{2,63}+"
+_WORD = r"[\p{L}\p{M}\p{N}]"
+TERM = f"{_WORD}++"
 DISCLOSURE = 0.9
 MIN_CONTEXTS = 3
-CLASS_LETTERS = 4
+ROLE_SHARE = 0.5
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 _CHUNK = 512
@@ -56,11 +60,12 @@ def _located(found: str, gaps: str) -> str:
     Offsets are summed in chunks, so appending to arrays stays linear in long texts.
     """
     acc = f"struct<at:int,out:{_SPAN}>"
+    # Matches and gaps are bound as a lambda's variable: they are found once, however many chunks there are.
     return f"""
-    transform(array(transform(sequence(0, cast((size({found}) - 1) div {_CHUNK} as int)), c ->
+    transform(array(named_struct('f', {found}, 'g', {gaps})), z -> transform(array(transform(sequence(0, cast((size(z.f) - 1) div {_CHUNK} as int)), c ->
       aggregate(
-        zip_with(slice({found}, c * {_CHUNK} + 1, {_CHUNK}),
-                 slice({gaps}, c * {_CHUNK} + 1, least({_CHUNK}, size({found}) - c * {_CHUNK})),
+        zip_with(slice(z.f, c * {_CHUNK} + 1, {_CHUNK}),
+                 slice(z.g, c * {_CHUNK} + 1, least({_CHUNK}, size(z.f) - c * {_CHUNK})),
                  (m, g) -> struct(length(g) as gap, length(m) as len, m as value)),
         cast(named_struct('at', 0, 'out', array()) as {acc}),
         (a, x) -> cast(named_struct('at', a.at + x.gap + x.len, 'out', concat(a.out, array(
@@ -68,7 +73,7 @@ def _located(found: str, gaps: str) -> str:
       parts -> flatten(zip_with(parts,
         aggregate(parts, cast(named_struct('at', 0, 'offs', array()) as struct<at:int,offs:array<int>>),
           (a, p) -> cast(named_struct('at', a.at + p.at, 'offs', concat(a.offs, array(a.at))) as struct<at:int,offs:array<int>>)).offs,
-        (p, o) -> transform(p.out, s -> named_struct('start', s.start + o, 'end', s.end + o, 'value', s.value)))))[0]"""
+        (p, o) -> transform(p.out, s -> named_struct('start', s.start + o, 'end', s.end + o, 'value', s.value)))))[0])[0]"""
 
 
 def _valid(kind: str) -> str:
@@ -116,7 +121,8 @@ def _terms(text: Column) -> Column:
 
 
 def _row_key(doc_id: str, text: str) -> Column:
-    return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+    """The same for repeated rows only."""
+    return F.xxhash64(F.col(doc_id).cast("long"), F.col(doc_id).isNull(), text)
 
 
 def mentions(based: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -138,43 +144,49 @@ def mentions(based: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def disclosing_terms(df: DataFrame, based: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = DISCLOSURE,
                      min_contexts: int = MIN_CONTEXTS) -> DataFrame:
-    """(term, replacement, disclosure): the terms to sanitise, each with the strongest disclosure it has."""
+    """(term, disclosure): the terms to sanitise, each with the strongest disclosure it has."""
     met = shared_table(mentions(based, text, doc_id), "pii_mentions")
     n = df.count()
-    n_c = met.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
     # Without that many surroundings of its own, no term can show an entity in them.
     several = met.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts"))
     met = met.join(shared_table(several.filter(F.col("contexts") >= min_contexts).select("entity"), "pii_entities"), "entity", "left_semi")
     held = shared_table(met.groupBy("entity", "key").agg(F.min("context").alias("context")), "pii_held")
     of_document = df.select(_row_key(doc_id, text).alias("key"), F.col(text).alias("text")).join(held.select("key").distinct(), "key", "left_semi")
-    pairs = held.join(of_document.select("key", F.explode(_terms(F.col("text"))).alias("term")).distinct(), "key")
+    # The rows that hold entities, with their terms: rows with one key are repeats, and each counts.
+    of_document = shared_table(of_document.select("key", _terms(F.col("text")).alias("terms")), "pii_holders")
+    n_c = held.select("entity", "key").join(of_document.select("key"), "key").groupBy("entity").agg(F.count("*").alias("n_c"))
+    pairs = held.join(of_document.select("key", F.explode("terms").alias("term")), "key")
     counted = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
     words = df.select(F.explode(_terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    words = shared_table(words, "pii_terms")
-    klass = F.substring("term", 1, CLASS_LETTERS)
-    classes = words.groupBy(klass.alias("class")).agg(F.sum("n_t").alias("n_class"))
     log_n = F.log2(F.lit(float(max(n, 1))))
-    ic = log_n - F.log2("n_c")
     scored = (
-        counted.join(n_c, "entity").join(words, "term").withColumn("class", klass).join(classes, "class")
-        .withColumn("ic", ic)
+        counted.join(n_c, "entity").join(words, "term")
+        .withColumn("ic", log_n - F.log2("n_c"))
         .filter("ic > 0")
         .withColumn("disclosure", (F.log2("n_ct") + log_n - F.log2("n_c") - F.log2("n_t")) / F.col("ic"))
-        .withColumn("class_disclosure", (F.log2("n_ct") + log_n - F.log2("n_c") - F.log2("n_class")) / F.col("ic"))
-        .filter(F.col("disclosure") >= threshold)
+        .filter(F.col("disclosure") >= threshold - 1e-12)
     )
-    scored = shared_table(scored.select("entity", "term", "disclosure", "class_disclosure"), "pii_scored")
+    scored = shared_table(scored.select("entity", "term", "disclosure"), "pii_scored")
     near = met.select("entity", F.explode("terms").alias("term"), "context")
     shown = pairs.select("entity", "term", "context").unionByName(near).join(scored.select("entity", "term"), ["entity", "term"], "left_semi")
     # Two steps of distinct counts, so that no task holds a hot pair's documents.
     by_context = shown.distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= min_contexts)
     scored = scored.join(by_context.drop("contexts"), ["entity", "term"], "left_semi")
-    return shared_table(
-        scored.groupBy("term").agg(F.max("disclosure").alias("disclosure"), F.max("class_disclosure").alias("_c"))
-        .select("term", "disclosure", F.when((F.col("_c") < threshold) & (F.length("term") > CLASS_LETTERS),
-                F.concat(F.substring("term", 1, CLASS_LETTERS), F.lit("*"))).otherwise(F.lit("[TERM]")).alias("replacement")),
-        "pii_disclosing",
-    )
+    return shared_table(scored.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii_disclosing")
+
+
+#: SQL: a pattern of the longest of the terms in ``_terms``, as whole words; only letters, marks and digits make up a term, so it needs no escaping.
+_ANY_TERM = f"concat(r'(?iu)(?<!{_WORD})(?:', array_join(reverse(array_sort(_terms)), '|'), r')(?!{_WORD})')"
+
+
+def roles(holders: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, role) of the terms that have one, of holders(text, _terms): the rows in which terms occur, with those."""
+    led = F.expr(f"regexp_extract_all(text, concat(r'{_WORD}++[^\\p{{L}}\\p{{M}}\\p{{N}}]{{1,3}}', {_ANY_TERM}), 0)")
+    pairs = holders.select(F.explode(led).alias("m")).select(F.regexp_extract_all(F.lower("m"), F.lit(TERM), F.lit(0)).alias("w"))
+    counts = pairs.select(F.element_at("w", -1).alias("term"), F.element_at("w", 1).alias("role")).groupBy("term", "role").agg(F.count("*").alias("n"))
+    best = counts.groupBy("term").agg(F.sum("n").alias("all"), F.min_by("role", F.struct(-F.col("n"), F.col("role"))).alias("role"), F.max("n").alias("n"))
+    best = best.filter(F.col("n") >= F.col("all") * ROLE_SHARE).select("term", "role")
+    return best.join(found.select(F.col("term").alias("role")), "role", "left_anti").select("term", "role")
 
 
 def with_spans(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
@@ -184,15 +196,17 @@ def with_spans(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **opti
     """
     based = with_base_spans(df, text)
     found = disclosing_terms(df, based, text, doc_id, **options)
-    hits = (
-        df.select(_row_key(doc_id, text).alias("_key"), F.explode(_terms(F.col(text))).alias("term"))
-        .join(found.select("term", "replacement"), "term")
-        .groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("term", "replacement")))).alias("_hits"))
-    )
-    hits = shared_table(hits, "pii_hits")  # a row per document that has a disclosing term
+    keyed = df.select(_row_key(doc_id, text).alias("_key"), F.col(text).alias("text"))
+    # A row per different document that has a disclosing term.
+    holders = keyed.select("_key", F.explode(_terms(F.col("text"))).alias("term")).join(found.select("term"), "term")
+    holders = shared_table(holders.groupBy("_key").agg(F.collect_set("term").alias("_terms")), "pii_holders_of_terms")
+    role = shared_table(roles(keyed.join(holders, "_key"), found), "pii_roles")
+    named = found.join(role, "term", "left").select("term", F.coalesce(F.concat(F.lit("["), "role", F.lit("]")), F.lit("[TERM]")).alias("replacement"))
+    hits = holders.select("_key", F.explode("_terms").alias("term")).join(named, "term")
+    hits = hits.groupBy("_key").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("term", "replacement")))).alias("_hits"))
+    hits = shared_table(hits, "pii_hits")
     rows = based.withColumn("_key", _row_key(doc_id, text)).join(hits, "_key", "left")
-    # Only letters and digits make up a term, so it needs no escaping; the longest term wins.
-    pattern = r"concat(r'(?iu)(?<![\p{L}\p{M}\p{N}])(?:', array_join(reverse(array_sort(map_keys(_hits))), '|'), r')(?![\p{L}\p{M}\p{N}])')"
+    pattern = _ANY_TERM.replace("_terms", "map_keys(_hits)")
     body = f"coalesce(`{text}`, '')"
     rows = rows.withColumn("_p", F.expr(f"case when _hits is not null then {pattern} end"))
     rows = rows.withColumn("_m_t", F.expr(f"case when _p is not null then regexp_extract_all({body}, _p, 0) else array() end"))
@@ -214,7 +228,7 @@ def _joined(spans: str) -> Column:
 
 
 def sanitise(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """``df`` with every span of its text replaced: ``[EMAIL]`` and so on, terms by their class or ``[TERM]``.
+    """``df`` with every span of its text replaced: ``[EMAIL]`` and so on, terms by their role or ``[TERM]``.
 
     Overlapping spans are replaced once, by the one that starts first (then the longest).
     """
