@@ -41,6 +41,12 @@ CONDITIONS = (
     ("used", ("used", "pre-owned", "preowned")),
 )
 PACKS = (r"\b(\d+)\s*pack\b", r"\b(\d+)\s*pk\b", r"\b(\d+)\s*-\s*pack\b", r"\bx\s*(\d+)\b", r"\b(\d+)\s*count\b")
+GPU_RTX, GPU_GTX, GPU_RADEON = r"\brtx\s*(\d{4})\b", r"\bgtx\s*(\d{3,4})\b", r"\bradeon\s*([a-z0-9]+)\b"
+#: Least and greatest of the shorter and of the longer side of a screen's grid; None is no bound.
+GRIDS = {
+    "8k": ((4300, None), (7600, None)), "4k": ((2100, None), (3800, None)), "1440p": ((1410, 1470), (2500, 3600)),
+    "1080p": ((1070, 1090), (1910, 1940)), "720p": ((710, 730), (1270, 1295)),
+}
 # ---- end of fixed values ----
 
 
@@ -94,10 +100,10 @@ def normalize_cpu(c: Column) -> Column:
 def normalize_gpu(c: Column) -> Column:
     s = F.lower(c)
     named = lambda p, lead: F.concat(F.lit(lead), group(s, p))
-    radeon = F.when(F.contains(s, F.lit("radeon")), F.coalesce(named(r"\bradeon\s*([a-z0-9]+)\b", "amd_radeon_"), F.lit("amd_radeon")))
+    radeon = F.when(F.contains(s, F.lit("radeon")), F.coalesce(named(GPU_RADEON, "amd_radeon_"), F.lit("amd_radeon")))
     return F.coalesce(
-        F.when(F.contains(s, F.lit("iris xe")), F.lit("intel_iris_xe")), named(r"\brtx\s*(\d{4})\b", "nvidia_rtx_"),
-        named(r"\bgtx\s*(\d{3,4})\b", "nvidia_gtx_"), radeon,
+        F.when(F.contains(s, F.lit("iris xe")), F.lit("intel_iris_xe")), named(GPU_RTX, "nvidia_rtx_"),
+        named(GPU_GTX, "nvidia_gtx_"), radeon,
         F.when(F.contains(s, F.lit("10core")) & F.contains(s, F.lit("apple")), F.lit("apple_10core")),
     )
 
@@ -105,14 +111,8 @@ def normalize_gpu(c: Column) -> Column:
 def normalize_resolution(c: Column) -> Column:
     s = F.lower(c)
     w, h = group(s, GRID).try_cast("int"), group(s, GRID, 2).try_cast("int")
-    lo, hi = F.least(w, h), F.greatest(w, h)
-    grids = [
-        ("8k", (hi >= 7600) & (lo >= 4300)),
-        ("4k", (hi >= 3800) & (lo >= 2100)),
-        ("1440p", lo.between(1410, 1470) & hi.between(2500, 3600)),
-        ("1080p", hi.between(1910, 1940) & lo.between(1070, 1090)),
-        ("720p", hi.between(1270, 1295) & lo.between(710, 730)),
-    ]
+    within = lambda side, low, high: side >= low if high is None else side.between(low, high)
+    grids = [(name, within(F.least(w, h), *short) & within(F.greatest(w, h), *long)) for name, (short, long) in GRIDS.items()]
     return first_true([*((k, s.rlike(p)) for k, p in RESOLUTION_WORDS.items()), *grids])
 
 

@@ -12,6 +12,7 @@ from shelfmark.plans.numbering import number_rows
 
 # ---- Fixed values ----
 ADDED = r"\b(mouse|bag|soundbar|case|keyboard|micro sd|sd card|dock|mount)\b"
+#: The names are reported as they are, cut letters included.
 TRIGGERS = {
     "with": r"\bwith\b", "includes?": r"\bincludes?\b", "undle": r"\bbundle\b", "combo": r"\bcombo\b", "kit": r"\bkit\b",
     "package": r"\bpackage\b", "set": r"\bset\b", r"w\/": r"\bw\/\b", "+": r"\w\s*\+\s*\w", "&": r"\&",
@@ -24,6 +25,9 @@ PROBE_LEXICON = (
     "memory card", "flash drive", "usb drive", "cleaning kit", "cloth", "screen protector", "soundbar", "subwoofer", "speakers", "remote",
     "antenna", "controller", "gamepad",
 )
+WEAK_BUNDLE, WEAK_SINGLE, WEAK_UNIT = r"\b(bundle|kit|combo)\b", r"\b(laptop|tv)\s+only\b", "unit only"
+JOINING = (" with ", " + ", " includes ")
+TAG_WORD, TAG_JOINED, TAG_PACK, TAG_ACCESSORIES, TAG_STRONG, TAG_WEAK = "word:bundle/kit/combo", "with/plus/includes", "pack:", "acc:", "model:strong", "model:weak"
 CONTENT_SPECS = ("accessories included", "package contents", "included", "in the box", "items included")
 # ---- end of fixed values ----
 
@@ -38,11 +42,11 @@ def weak_label() -> Column:
     listed = F.try_element_at(F.filter(F.col("spec_entries"), lambda e: e["key"] == "accessories included"), F.lit(-1))["value"]
     varied = F.exists(S.variation_options(F.col("details_map")), lambda v: v.rlike(S.VARIATION_ADDS))
     return (
-        F.when(t.rlike(r"\b(bundle|kit|combo)\b"), 1)
+        F.when(t.rlike(WEAK_BUNDLE), 1)
         .when((t.rlike(r"\bwith\b") | t.rlike(r"\b\+\b")) & t.rlike(ADDED), 1)
         .when(F.coalesce(F.length(listed) >= 3, F.lit(False)), 1)
         .when(varied, 1)
-        .when(t.rlike(r"\b(laptop|tv)\s+only\b") | F.contains(t, F.lit("unit only")), 0)
+        .when(t.rlike(WEAK_SINGLE) | F.contains(t, F.lit(WEAK_UNIT)), 0)
     )
 
 
@@ -56,8 +60,8 @@ def detect_bundles(df: DataFrame, probability: Column | None = None) -> DataFram
     """Bundle annotations per product; ``probability`` is a model's, 0.5 without one."""
     text = gather_text()
     t = F.lower(text)
-    word = t.rlike(r"\b(bundle|kit|combo)\b")
-    joined = P.any_of(t, (" with ", " + ", " includes "))
+    word = t.rlike(WEAK_BUNDLE)
+    joined = P.any_of(t, JOINING)
     df = df.withColumns({
         "pack_qty": P.pack_qty(text),
         "accessories": F.array_distinct(F.concat(S.accessories_in(text), S.accessories_listed(F.col("spec_entries")), S.accessories_varied(F.col("details_map")))),
@@ -70,9 +74,9 @@ def detect_bundles(df: DataFrame, probability: Column | None = None) -> DataFram
     df = df.withColumn("_p", p)
     kind = F.when(pack >= 2, "multi_pack").when((F.col("_p") >= 0.6) & (n >= 1), "accessory_bundle").otherwise("standalone")
     tags = F.concat_ws(
-        ",", F.when(F.col("_word"), "word:bundle/kit/combo"), F.when(F.col("_joined"), "with/plus/includes"),
-        F.concat(F.lit("pack:"), pack.cast("string")), F.when(n > 0, F.concat(F.lit("acc:"), n.cast("string"))),
-        F.when(F.col("_p") >= 0.8, "model:strong").when(F.col("_p") >= 0.6, "model:weak"),
+        ",", F.when(F.col("_word"), TAG_WORD), F.when(F.col("_joined"), TAG_JOINED),
+        F.concat(F.lit(TAG_PACK), pack.cast("string")), F.when(n > 0, F.concat(F.lit(TAG_ACCESSORIES), n.cast("string"))),
+        F.when(F.col("_p") >= 0.8, TAG_STRONG).when(F.col("_p") >= 0.6, TAG_WEAK),
     )
     return df.select(
         "product_id", (kind != "standalone").alias("is_bundle"), kind.alias("bundle_type"),

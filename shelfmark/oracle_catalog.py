@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from shelfmark.functions.text import ACRONYMS
 from shelfmark.sources.catalog import CATALOG_SQL
 
 
@@ -220,6 +221,10 @@ _PANEL = """CASE WHEN contains(lower(name), 'oled') THEN 'oled' WHEN contains(lo
 _BASE = f"""{_mode_of(_readable('cpu'), 'm_cpu')}, {_mode_of('round_even(screen, 1)', 'm_inch')}, {_mode_of(_PANEL, 'm_panel')}, {_mode_of('sub_category', 'm_sub')},
   base AS (SELECT group_id, CASE WHEN lower(m_sub) = 'laptop' THEN 'laptop' END AS form_factor, CASE WHEN lower(m_sub) = 'tv' THEN m_panel END AS display_type, CAST(m_inch AS DOUBLE) AS screen_size_inches, m_cpu AS processor_family
     FROM (SELECT DISTINCT group_id FROM v) LEFT JOIN m_cpu USING (group_id) LEFT JOIN m_inch USING (group_id) LEFT JOIN m_panel USING (group_id) LEFT JOIN m_sub USING (group_id))"""
+_letters = "regexp_replace(k, '[^A-Za-z]', '', 'g')"
+_titled = "array_to_string(list_transform(range(1, len(k) + 1), lambda i: CASE WHEN i > 1 AND regexp_matches(substr(k, i - 1, 1), '[A-Za-z]') THEN lower(substr(k, i, 1)) ELSE upper(substr(k, i, 1)) END), '')"
+_smart = f"""CASE WHEN upper(k) IN ({", ".join(f"'{a}'" for a in sorted(ACRONYMS))}) THEN upper(k) WHEN {_letters} = '' OR ({_letters} <> upper({_letters}) AND {_letters} <> lower({_letters})) THEN k
+      WHEN len({_letters}) <= 3 AND {_letters} = k THEN upper(k) ELSE {_titled} END"""
 _html = "html"
 for _a, _b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
     _html = f"replace({_html}, '{_a}', '{_b}')"
@@ -228,6 +233,15 @@ for _c in "!?.,;:":
     _single = f"regexp_replace({_single}, '[{_c}]{{2,}}', '{_c}', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
+    "scan_csv": f"{E} SELECT product_id, name, nullif(details, '') AS details FROM e",
+    "scan_projected": f"{E} SELECT product_id, try_cast(seller_id AS INTEGER) AS seller_id FROM e",
+    "spec_all": f"{E} SELECT product_id, coalesce(s_color, '') AS colors, s_color IS NOT NULL AS has_color FROM e",
+    "axes_region": f"{E} SELECT product_id, CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS carrier FROM e",
+    "export_assignments": f"{V} SELECT product_id, group_id, variant_id FROM v",
+    "probe_multipack": rf"""{R}, m AS (SELECT product_id, list_concat(list_concat(list_transform(regexp_extract_all(t, '\b(\d+)[-\s]?(?:pack|pk)\b', 1), lambda n: '\b(\d+)[-\s]?(?:pack|pk)\b:' || n),
+      list_transform(regexp_extract_all(t, '\bset\s+of\s+(\d+)\b', 1), lambda n: '\bset\s+of\s+(\d+)\b:' || n)), list_transform(regexp_extract_all(t, '\bx\s?(\d+)\b', 1), lambda n: '\bx\s?(\d+)\b:' || n)) AS x FROM t)
+      SELECT product_id, array_to_string(x, ', ') AS evidence_multipack FROM m""",
+    "probe_extra_terms": f"{R}, x AS (SELECT unnest(['widget', 'gizmo']) AS term) SELECT term, count(*) AS count FROM x JOIN t ON contains(' ' || regexp_replace(t, '[^a-z0-9_]', ' ', 'g') || ' ', ' ' || term || ' ') GROUP BY 1",
     "union_sources": f"{E} SELECT product_id, name, CASE WHEN row_id % 2 = 1 THEN brand END AS brand FROM e",
     "sample_n": f"{E} SELECT product_id, name FROM e ORDER BY md5('42:' || product_id), product_id LIMIT 100",
     "schema_backfill": f"{E} SELECT product_id, '' AS category, '' AS model, brand FROM e",
@@ -236,6 +250,9 @@ ORACLE_SQL: dict[str, str] = {
     "text_dehtml": f"SELECT page_id, md5(regexp_replace({_html}, '<[^>]+>', ' ', 'g')) AS text_md5 FROM pages",
     "text_punct": f"SELECT doc_id, md5(replace({_single}, chr(92), ' ')) AS text_md5 FROM documents",
     "text_squeeze": r"SELECT doc_id, md5(trim(regexp_replace(text, '[\s\x{000B}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), ' -_/|')) AS text_md5 FROM documents",
+    "smart_case": rf"""{E}, p AS (SELECT product_id, trim({_squeeze('name')}) AS s, regexp_replace(name, '[^A-Za-z]', '', 'g') AS l FROM e)
+      SELECT product_id, trim(CASE WHEN len(l) > 0 AND (len(regexp_replace(l, '[^A-Z]', '', 'g')) > 0.8 * len(l) OR len(regexp_replace(l, '[^a-z]', '', 'g')) > 0.8 * len(l))
+        THEN array_to_string(list_transform(string_split(s, ' '), lambda k: {_smart}), ' ') ELSE s END, ' -_/|') AS title FROM p""",
     "model_code": f"{E} SELECT product_id, CASE WHEN row_id % 5 < 2 THEN NULL ELSE 'A X' END AS model_code FROM e",
     "ml_text": f"{M} SELECT product_id, ml_text FROM m",
     "canonical_title": f"{E} SELECT product_id, {_title('name')} AS title FROM e",

@@ -15,6 +15,7 @@ from shelfmark.plans.graph import connected_components
 from shelfmark.plans.shared import new_path, shared_table
 from shelfmark.sources import products as feed
 from shelfmark.sources.catalog import catalog
+from shelfmark.sources.sinks import export_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Similarity threshold of the queries on the embeddings table.
@@ -99,10 +100,18 @@ def stored(rows: DataFrame, *columns: str) -> DataFrame:
 @query
 def scan_csv(spark, d):
     path = new_path(spark, "feed")
-    catalog(spark, d).write.option("header", True).option("escape", '"').csv(path)
+    export_csv(catalog(spark, d), path)
     return feed.scan_csv(spark, [path]).select("product_id", "name", "details")
 
 
+@query
+def scan_projected(spark, d):
+    """Two columns of a feed, one of them with a type of its own."""
+    path = new_path(spark, "feed")
+    export_csv(catalog(spark, d), path)
+    return feed.scan_csv(spark, [path], ["product_id", "seller_id"], {"seller_id": "int"}).drop("_file", "_path")
+
+
 @query
 def union_sources(spark, d):
     rows = catalog(spark, d)
@@ -221,6 +230,9 @@ def canonical_specs(spark, d):
 
 
 on_catalog("spec_first", **{c: (lambda c=c: S.spec_first(F.col("spec_entries"), c)) for c in ("ram_gb", "screen_inches", "color", "condition")})
+on_catalog(
+    "spec_all", colors=lambda: F.array_join(S.spec_all(F.col("spec_entries"), "color"), "|"), has_color=lambda: S.spec_has(F.col("spec_entries"), "color"),
+)
 on_catalog("accessories_text", accessories=lambda: F.array_join(S.accessories_in(F.col("name")), ","))
 on_catalog("array_dedupe", words=lambda: F.array_join(F.array_distinct(F.split(F.concat_ws(" ", F.col("name"), F.col("name")), " ")), " "))
 
@@ -268,6 +280,11 @@ _axis("axes_silicon", "silicon.cpu", "silicon.gpu")
 _axis("axes_packaging", "packaging.bundle", "packaging.condition")
 
 
+@query
+def axes_region(spark, d):
+    return with_axes(spark, d).select("product_id", F.col("axes.region").alias("region"), F.col("axes.carrier").alias("carrier"))
+
+
 # ---------------------------------------------------------------- vectors and models
 @query
 def tfidf_weights(spark, d):
@@ -395,6 +412,14 @@ def assignments(spark, d):
     return variants.assignments(with_variants(spark, d))
 
 
+@query
+def export_assignments(spark, d):
+    """The assignments as they are read back from the CSV that is exported."""
+    path = new_path(spark, "assignments")
+    export_csv(variants.assignments(with_variants(spark, d)), path)
+    return feed.scan_csv(spark, [path]).drop("_file", "_path")
+
+
 @query
 def variant_records(spark, d):
     _, records = variants.build_variants(with_variants(spark, d).drop("variant_id"))
@@ -473,6 +498,17 @@ def bundle_probe_score(spark, d):
     return _probed(spark, d).select("product_id", "bundle_score", "evidence_triggers", "evidence_accessories", "evidence_spec_hint")
 
 
+@query
+def probe_multipack(spark, d):
+    return _probed(spark, d).select("product_id", "evidence_multipack")
+
+
+@query
+def probe_extra_terms(spark, d):
+    rows = bundles.probe(enriched(spark, d), ("widget", "gizmo"))
+    return bundles.accessory_term_counts(rows).filter(F.col("term").isin("widget", "gizmo"))
+
+
 @query
 def bundle_candidates(spark, d):
     return bundles.bundle_candidates(_probed(spark, d)).select("product_id", "bundle_score")

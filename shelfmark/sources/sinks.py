@@ -23,5 +23,6 @@ def export_json_lines(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
-    """CSV with a header, a part file a task; ``single`` is for results of bounded size, such as a top-n."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header, a part file a task, white space as it is; ``single`` is for results of bounded size, such as a top-n."""
+    as_is = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    (df.coalesce(1) if single else df).write.mode("overwrite").options(**as_is).csv(path)
