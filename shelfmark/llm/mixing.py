@@ -34,10 +34,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def seeded_hash(seed: int, *columns: Column) -> Column:
+    """A signed 64-bit number, in steps of 16, from the MD5 of seed and columns, colon-joined; a null is empty."""
+    text = F.concat(F.lit(str(seed)), *[x for c in columns for x in (F.lit(":"), F.coalesce(c.cast("string"), F.lit("")))])
+    return (F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") - F.lit(1 << 59)) * 16
+
+
 def _keyed(df: DataFrame, text: str, source: str, doc_id: str, seed: int) -> DataFrame:
-    return df.withColumns(
-        {"_size": word_count(F.col(text)), "_source": F.col(source), "_h": F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))}
-    )
+    return df.withColumns({"_size": word_count(F.col(text)), "_source": F.col(source), "_h": seeded_hash(seed, F.col(doc_id), F.col(text))})
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -138,3 +142,29 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_repetitions(docs).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repetitions")).alias("taken")
     )
+
+
+#: The level is the first, in the order in which sources reach their caps, that does not pass its source's cap.
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    (CAST('0x' || substr(md5('4099:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) - 576460752303423488) * 16 AS h
+  FROM documents
+), s AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS k FROM d GROUP BY source
+), c AS (
+  SELECT *, CAST(1 + k % 3 AS DOUBLE) AS weight, 3 * source_size AS cap, 3 * source_size / CAST(1 + k % 3 AS DOUBLE) AS reach, sum(source_size) OVER () AS total FROM s
+), l AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY reach, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY reach, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c
+), t AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size, least(weight * (SELECT level FROM l WHERE level <= reach ORDER BY reach, k LIMIT 1), CAST(cap AS DOUBLE)) AS target FROM l
+), p AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t
+), r AS (
+  SELECT d.doc_id, d.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS extra,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS upto, sum(d.size) OVER (PARTITION BY d.source, d.h) AS own
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target, CAST(size * least(whole + CASE WHEN extra > 0 AND upto - own / 2 <= extra THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken FROM r
+"""
