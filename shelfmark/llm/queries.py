@@ -1,7 +1,7 @@
 """Registry of the subpackage's queries and of the SQL twins that exist.
 
-op1, op3 and op7 depend on hashes or spans that SQL cannot reproduce, op8, op9
-and op10 on a tokenizer or a fitted model; they are tested against brute force.
+op1 depends on spans, op8 on a tokenizer and op9 and op10 on a fitted model that SQL
+does not express; they are tested against brute force.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from shelfmark.llm.bpe import op8_bpe
 from shelfmark.llm.embedding_dedup import OP4_SQL, op4_embedding_dedup
 from shelfmark.llm.lm import op10_lm
 from shelfmark.llm.minhash import OP5_SQL, op5_minhash
-from shelfmark.llm.mixing import op3_mixing
+from shelfmark.llm.mixing import OP3_SQL, op3_mixing
 from shelfmark.llm.pii import op1_pii
 from shelfmark.llm.quality import op9_quality
-from shelfmark.llm.sharding import op7_sharding
+from shelfmark.llm.sharding import OP7_SQL, op7_sharding
 from shelfmark.llm.topk import OP6_SQL, op6_topk
 from shelfmark.llm.warc import OP2_SQL, op2_warc
 
@@ -32,7 +32,9 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": OP2_SQL,
+    "op3_mixing": OP3_SQL,
     "op4_embedding_dedup": OP4_SQL,
     "op5_minhash": OP5_SQL,
     "op6_topk": OP6_SQL,
+    "op7_sharding": OP7_SQL,
 }

@@ -12,8 +12,6 @@ replace columns of the same name.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,57 +19,58 @@ from pyspark.sql import functions as F
 from shelfmark.plans.shared import shared_table
 
 SEED = 20_011
-#: Rows of one slot-numbering bucket, on average; a bucket is sorted in one task.
-ROWS_PER_BUCKET = 8192
+#: Hexadecimal digits of a digest that make up a uniform number: 52 bits, which a double holds.
+DIGITS = 13
 
 
 def scores(key: Column, weights: list[float], seed: int = SEED) -> list[Column]:
-    """One positive score per shard, from a 53-bit uniform of key and shard number."""
+    """One positive score per shard, from a 52-bit uniform: the MD5 of seed, key and shard number, colon-joined."""
+    if not weights or min(weights) <= 0:
+        raise ValueError("weights must be positive")
     out = []
+    text = F.coalesce(key.cast("string"), F.lit(""))
     for i, weight in enumerate(weights):
-        bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(seed), F.lit(i)), 11)
-        uniform = (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+        digest = F.md5(F.concat(F.lit(f"{seed}:"), text, F.lit(f":{i}")))
+        uniform = (F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 4 * DIGITS))
         out.append(F.lit(float(weight)) / -F.log(uniform))
     return out
 
 
+def _winner(some: Column) -> Column:
+    """The last place, from 0, of an array's largest value."""
+    pairs = F.transform(some, lambda s, i: F.struct(s.alias("score"), i.alias("shard")))
+    return F.array_max(pairs)["shard"]
+
+
 def rendezvous(key: Column, weights: list[float], seed: int = SEED) -> Column:
     """The number of the shard with the highest score; ties go to the higher number."""
-    if not weights or min(weights) <= 0:
-        raise ValueError("weights must be positive")
-    pairs = [F.struct(s.alias("score"), F.lit(i).alias("shard")) for i, s in enumerate(scores(key, weights, seed))]
-    return F.array_max(F.array(*pairs))["shard"]
+    return _winner(F.array(*scores(key, weights, seed)))
 
 
 def with_slots(df: DataFrame, shard: str, order: list[str], out: str = "slot") -> DataFrame:
-    """Number the rows of each shard from 0 without gaps.
+    """Number the rows of each shard, a whole number, from 0 without gaps in the order of the columns ``order``.
 
-    A shard is cut into buckets by a hash of ``order``; bucket counts give each
-    bucket its first slot, and only a bucket is ever sorted in one task.
+    ``df`` should read a stored table: its rows are dealt into ranges of shard and
+    order, and repeats of a row by their place in the table, so that no range grows
+    hot. Only the sizes of ranges, a row each and shard, are added up in windows.
     """
-    n = df.count()
-    n_shards = max(1, df.select(shard).distinct().count())
-    buckets = max(64, math.ceil(n / n_shards / ROWS_PER_BUCKET))
-    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    counts = rows.groupBy(shard, "_bucket").count()
-    before = W.partitionBy(shard).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = shared_table(
-        counts.select(shard, "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")), "slot_starts"
-    )
-    within = W.partitionBy(shard, "_bucket").orderBy(*order)
-    return (
-        rows.join(starts, [shard, "_bucket"])
-        .withColumn(out, F.col("_start") + F.row_number().over(within) - 1)
-        .drop("_start", "_bucket")
-    )
+    by = [shard, *order, "_tie"]
+    rows = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
+    rows = shared_table(rows.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), "in_order")
+    rows = rows.withColumn("_part", F.shiftright("_place", 33))
+    sizes = rows.groupBy(shard, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    before = W.partitionBy(shard).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(shard, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    return rows.join(shared_table(starts, "slot_starts"), [shard, "_part"]).withColumn(out, F.col("_place") + F.col("_start")).drop("_start", "_part", "_place")
 
 
 def assign(df: DataFrame, key: str, weights: list[float], seed: int = SEED, grown_weight: float | None = None) -> DataFrame:
     """``df`` with ``shard``, and with ``grown_shard`` if one more shard of ``grown_weight`` is asked for."""
-    df = df.withColumn("shard", rendezvous(F.col(key), weights, seed))
-    if grown_weight is not None:
-        df = df.withColumn("grown_shard", rendezvous(F.col(key), [*weights, grown_weight], seed))
-    return df
+    if grown_weight is None:
+        return df.withColumn("shard", rendezvous(F.col(key), weights, seed))
+    every = F.array(*scores(F.col(key), [*weights, grown_weight], seed))
+    placed = df.withColumn("_scores", every)
+    return placed.withColumns({"shard": _winner(F.slice("_scores", 1, len(weights))), "grown_shard": _winner(F.col("_scores"))}).drop("_scores")
 
 
 def write_shards(df: DataFrame, path: str, key: str, weights: list[float], seed: int = SEED) -> None:
@@ -90,3 +89,21 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"
     )
+
+
+#: Equal weights, so the largest 52-bit number wins; a CRC is folded over the bytes with the table of its polynomial.
+OP7_SQL = """
+WITH crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS tab
+), d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+    xor(coalesce(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+      lambda s, x: xor(s >> 8, tab[(xor(s, x) & 255) + 1]), 4294967295), 4294967295), 4294967295) AS text_crc32,
+    list_transform(range(25), lambda i: CAST('0x' || substr(md5('20011:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || i), 1, 13) AS BIGINT)) AS u
+  FROM documents, crc
+), placed AS (
+  SELECT *, list_position(u[1:24], list_max(u[1:24])) - 1 AS shard, list_position(u, list_max(u)) - 1 AS grown_shard FROM d
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard FROM placed
+"""
