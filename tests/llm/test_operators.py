@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -92,6 +93,68 @@ def test_pii(spark, docs):
     assert pii.with_spans(df.limit(0)).count() == 0
 
 
+def disclosed_by(rows):
+    """{term: replacement} of (doc_id, text) rows, from the definitions, for texts with one mention of an entity at most."""
+    run = bpe.regex.compile(r"[\p{L}\p{M}\p{N}]+")
+    words = lambda t: {w.lower() for w in run.findall(t)}
+    terms, held, contexts = [words(t) for _, t in rows], collections.defaultdict(set), collections.defaultdict(dict)
+    for i, (_, t) in enumerate(rows):
+        for kind, start, end in (s.split(":") for s in base_spans(t)):
+            a, b = int(start), int(end)
+            value = t[a:b].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", t[a:b])
+            before, after = t[max(0, a - 100) : a], t[b : b + 100]
+            before = re.sub(r"^\S*", "", before) if a > 100 else before
+            after = re.sub(r"\S*$", "", after) if len(after) == 100 else after
+            near = before + " | " + after
+            for _, pattern in PATTERNS:
+                near = re.sub(pattern, " ", near)
+            held[kind, value].add(i)
+            contexts[kind, value][i] = frozenset(words(near))
+    found, n = {}, len(rows)
+    for c, where in held.items():
+        if len(set(contexts[c].values())) < pii.MIN_CONTEXTS or len(where) == n:
+            continue
+        for t in set().union(*(terms[i] for i in where)):
+            n_ct, n_t = sum(t in terms[i] for i in where), sum(t in x for x in terms)
+            strength = math.log(n_ct * n / len(where) / n_t) / math.log(n / len(where))
+            shown = {contexts[c][i] for i in where if t in terms[i]} | {x for x in contexts[c].values() if t in x}
+            if strength >= pii.DISCLOSURE - 1e-12 and len(shown) >= pii.MIN_CONTEXTS:
+                found[t] = "[TERM]"
+    led = collections.defaultdict(collections.Counter)
+    w = r"[\p{L}\p{M}\p{N}]"
+    pattern = bpe.regex.compile(rf"{w}++[^\p{{L}}\p{{M}}\p{{N}}]{{1,3}}(?<!{w})(?:{'|'.join(sorted(found, reverse=True))})(?!{w})", bpe.regex.I)
+    for _, t in rows:
+        for m in pattern.findall(t) if found else ():
+            first, *_, last = run.findall(m.lower())
+            led[last][first] += 1
+    for t, c in led.items():
+        role = min(c, key=lambda x: (-c[x], x))
+        if 2 * c[role] >= c.total() and role not in found:
+            found[t] = f"[{role}]"
+    return found
+
+
+def test_pii_terms_by_brute_force(spark):
+    r = random.Random(11)
+    rows = [(i, f"{prose(900 + i, 6)} agent Zorblatt {prose(950 + i, 40)} zed@mail.org {prose(70 + i, 6)}") for i in range(12)]
+    rows += [(20 + i, f"Xu {prose(300 + i, 60)} from 10.1.2.3 {prose(330 + i, 9)}") for i in range(8)]
+    rows += [(40 + i, f"{prose(400 + i, 9)} {'y' * 90}é7 ask +49 30 12345670 {prose(430 + i, 9)}") for i in range(10)]
+    rows += [(60 + i, f"7g {prose(5, 30)} copies@mail.org {prose(6, 30)}") for i in range(9)]  # one surrounding
+    rows += [(70, "repeated rows ask Quent q@mail.org for more")] * 5 + [(80 + i, f"{prose(500 + i, 5)} Quent {prose(520 + i, 7)} q@mail.org {prose(i, 5)}") for i in range(4)]
+    rows += [(100 + i, "agent " + prose(600 + i, 50)) for i in range(60)]
+    rows += [(200, "ZORBLATT, xu; 7g"), (201, f"{'Y' * 90}É7"), (None, "agent zorblatt Quent"), (202, ""), (203, "zorblatty xux agentzorblatt")]
+    r.shuffle(rows)
+    want = disclosed_by(rows)
+    assert want["zorblatt"] == "[agent]" and {"xu", "y" * 90 + "é7", "quent"} <= set(want) and "7g" not in want and "the" not in want
+    got = pii.with_spans(spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n int")).collect()
+    assert len(got) == len(rows)
+    for g in got:
+        base = [tuple(map(int, s.split(":")[1:])) for s in base_spans(g.text)]
+        spans = [(m.start(), m.end(), want[m[0].lower()]) for m in bpe.regex.finditer(r"[\p{L}\p{M}\p{N}]+", g.text) if m[0].lower() in want]
+        spans = [s for s in spans if not any(a < s[1] and s[0] < b for a, b in base)]
+        assert [(s.start, s.end, s.replacement) for s in g.spans if s.kind == "term"] == spans, g.text
+
+
 # ------------------------------------------------------------------ archives
 def test_warc(spark):
     big = "<p>" + "x" * 200 + "</p>"
@@ -163,7 +226,7 @@ def test_mixing(spark, docs):
 
 
 # ------------------------------------------------------------------ vectors
-def test_embedding_dedup_and_topk(spark):
+def test_embedding_dedup_and_topk(spark, monkeypatch):
     r = np.random.default_rng(3)
     base = r.normal(size=(40, 16))
     rows = [(i, v.tolist()) for i, v in enumerate(base)]
@@ -190,21 +253,35 @@ def test_embedding_dedup_and_topk(spark):
             want[i, len(linked[a]), low, i == low] += 1
         assert got == want
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
-    packed = vectors.pack(df)
-    for rows_a_block, depth in ((4096, 128), (20, 2)):
-        topk.CANDIDATE_ROWS, topk.FIRST_DEPTH = rows_a_block, depth
-        got = [(g.query_id, g["rank"], g.vec_id, g.score) for g in topk.top_k(packed.filter("vec_id % 50 = 0"), packed).orderBy("query_id", "rank").collect()]
-        whole = {(i, tuple(v)): [math.floor(256 * x) for x in v] for i, v in rows if v and all(x is not None and math.isfinite(x) for x in v)}
-        want = []
-        for (i, _), q in sorted(whole.items()):
-            if i % 50 == 0:
-                scores = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), j) for (j, _), c in whole.items() if j != i and len(c) == len(q))[:5]
-                want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(scores)]
-        assert got == want
-    topk.CANDIDATE_ROWS, topk.FIRST_DEPTH = 4096, 128
+    packed = topk.numbered(df)
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v and all(x is not None and math.isfinite(x) for x in v)]
+    want = collections.Counter()
+    for a, (i, q) in enumerate(whole):
+        if i % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(q, c, strict=True)), j) for b, (j, c) in enumerate(whole) if a != b and len(c) == len(q))[:5]
+            want.update((i, k + 1, j, -s) for k, (s, j) in enumerate(scores))
+    assert sum(n for (i, k, *_), n in want.items() if (i, k) == (300, 1)) == 2  # a repeated row is a query of its own
+    for rows_a_block, lists, few, groups in ((4096, 16, 64, 64), (4096, 3, 6, 8), (20, 5, 1, 64)):
+        for name, value in (("CANDIDATE_ROWS", rows_a_block), ("LISTS_AT_ONCE", lists), ("FEW", few), ("GROUPS", groups)):
+            monkeypatch.setattr(topk, name, value)
+        got = topk.top_k(packed.filter("vec_id % 50 = 0"), packed).collect()
+        assert collections.Counter(tuple(g) for g in got) == want
     assert topk.top_k(packed.limit(0), packed).count() == 0
 
 
+def test_topk_outsiders_are_ruled_out_before_the_lists_end():
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(40, 64))
+    x = np.floor(256 * (centres[r.integers(0, 40, 3000)] + 0.2 * r.normal(size=(3000, 64))))
+    q = x[:50]
+    read = []
+    for i, places, lists in topk.survivors(q, x, np.arange(50), 5):
+        best = np.argsort(-np.where(np.arange(3000) == i, -np.inf, x @ q[i]), kind="stable")[:5]
+        assert set(best) <= set(places) and i not in places
+        read.append(lists)
+    assert len(read) == 50 and np.mean(read) < 64
+
+
 # ------------------------------------------------------------------ near-duplicates
 def shingles(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
@@ -260,6 +337,19 @@ def test_minhash(spark, docs):
     assert minhash.near_duplicates(table(spark, rows).limit(0)).count() == 0
 
 
+def test_deduplicate_chooses_rows_by_id_and_text(spark):
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "y"), (1, "another text of the same id", "z"), (2, "A b c d", "x"), (3, "a b c d e f", "x"),
+            (None, "a b c d", "p"), (None, "a b c d", "q"), (4, "", "x"), (4, "", "x"), (5, None, "x"), (6, "nothing like it at all", "x")]
+    df = spark.createDataFrame([(i, t, s, 0) for i, t, s in rows], "doc_id long, text string, source string, times int")
+    got = minhash.deduplicate(df)
+    assert got.columns == df.columns
+    kept = collections.Counter((r.doc_id, r.text) for r in got.collect())
+    want = [(1, "a b c d"), (1, "another text of the same id"), (3, "a b c d e f"), (None, "a b c d"), (4, ""), (5, None), (6, "nothing like it at all")]
+    assert kept == collections.Counter(want)
+    again = {(r.doc_id, r.text): r.source for r in minhash.deduplicate(df.repartition(5)).collect()}
+    assert again == {(r.doc_id, r.text): r.source for r in got.collect()}
+
+
 def test_minhash_copies_about_the_threshold(spark, monkeypatch):
     monkeypatch.setattr(minhash, "TILE", 16)  # several tiles a bucket
     got = expect_components(spark, copies(150, 200, (4, 16)))
@@ -303,7 +393,7 @@ def test_sharding(spark, docs):
 
 
 # ------------------------------------------------------------------ BPE
-def test_bpe(spark, docs):
+def test_bpe(spark, docs, monkeypatch):
     import tiktoken
 
     ranks = bpe.load_ranks(bpe.default_vocabulary())
@@ -314,14 +404,35 @@ def test_bpe(spark, docs):
     assert len(out) == len(docs) + len(odd)
     for r in out:
         assert list(r.ids) == enc.encode_ordinary(r.text or "") and bytes(r.decoded).decode() == (r.text or "")
-    for r in bpe.digests(df).collect():
-        assert re.fullmatch("[0-9a-f]{64}", r.ids_sha256)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = collections.Counter()
+    for i, t, _ in [*docs, *((600 + i, t, "a") for i, t in enumerate(odd))]:
+        ids = enc.encode_ordinary(t or "")
+        want[i, len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())] += 1
+    assert None in {k[0] for k in want}
+    for at_once, remembered in ((bpe.WORDS_AT_ONCE, bpe.CACHE_WORDS), (7, 20)):
+        # Texts in several runs, and words that are forgotten and met again.
+        monkeypatch.setattr(bpe, "WORDS_AT_ONCE", at_once)
+        monkeypatch.setattr(bpe, "CACHE_WORDS", remembered)
+        monkeypatch.setattr(bpe, "LONG_TEXT", at_once * 8)
+        assert collections.Counter(tuple(r) for r in bpe.digests(df).collect()) == want
     words = [w for t in odd[2:] for w in bpe.regex.findall(bpe.PATTERN, t)]
     native = bpe.encode_native(spark.createDataFrame([(w,) for w in words], "word string").coalesce(1)).collect()
     assert all(list(r.ids) == enc.encode_ordinary(r.word) for r in native)
     assert bpe.encode(df.limit(0)).count() == 0
 
 
+def test_bpe_folds_like_the_library():
+    import tiktoken
+
+    ranks = bpe.load_ranks(bpe.default_vocabulary())
+    enc = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec, r = bpe.Codec(ranks), random.Random(1)
+    letter = lambda: chr(r.choice([r.randrange(32, 127), r.randrange(0x80, 0x3000), r.randrange(0x10000, 0x11000)]))
+    texts = ["".join(letter() for _ in range(r.randrange(200))) for _ in range(300)] + ["a" * n for n in range(100)] + ["ab" * n for n in range(50)]
+    assert [codec.encode(t) for t in texts] == [enc.encode_ordinary(t) for t in texts]
+
+
 # ------------------------------------------------------------------ quality
 def test_quality(spark, docs):
     clean = [(i, prose(i, 60), "a") for i in range(1, 200)]
@@ -341,24 +452,107 @@ def test_quality(spark, docs):
     assert quality.keep_good(empty).count() == 0
 
 
+def plain_votes(text):
+    """A text's votes, word by word."""
+    words = text.encode().split()
+    if not words:
+        return [0] * 8
+    n, solid = len(words), sum(map(len, words))
+    body, low = text.encode(), [w.lower() for w in words]
+    upper, lower = sum(65 <= c <= 90 for c in body), sum(97 <= c <= 122 for c in body)
+
+    def vote(value, junk_from, good_to, enough=True):
+        return 0 if not enough else -1 if value >= junk_from else 1 if value <= good_to else 0
+
+    marks = sum(w[-1] in b".,;:!?" for w in words) / n
+    known = {w.encode() for w in quality.FUNCTION_WORDS}
+    return [
+        vote(sum(c in b"#$%&*@^~|<>{}[]=_+\\/" for c in body) / solid, 0.15, 0.03),
+        vote(upper / max(upper + lower, 1), 0.5, 0.2),
+        vote(sum(a == b for a, b in zip(low, low[1:], strict=False)) / n, 0.3, 0.05, n >= 5),
+        vote(sum(w in (b"|", b"*", b"-", b"=", b"~", b"#") for w in words) / n, 0.25, 0.05),
+        vote(sum(w.endswith(b"!!") for w in words) / n, 0.3, 0.05),
+        0 if n < 20 else 1 if 0.01 <= marks <= 0.35 else -1,
+        vote(abs(solid / n - 6.5), 5.5, 3.5),
+        -vote(sum(w in known for w in low) / n, 0.08, 0.01, n >= 20),
+    ]
+
+
+def test_votes_are_counted_text_by_text():
+    texts = ["", "  ", "wow!!", "! hello", "|", "| a | b", prose(1, 60), prose(2, 60).upper(), "A a A a a a a", "x$$$ y### z@@@", "é ü ß " * 30, "the of and " * 40 + "!!", "nothing!! here!!"]
+    texts += [prose(i, 5 + i) + "!" * (i % 3) for i in range(30)] + [prose(9, 200_000)]
+    body = "".join(texts).encode()
+    at = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    assert quality.votes(np.frombuffer(body, np.uint8), at).tolist() == [plain_votes(t) for t in texts]
+
+
+def test_em_over_patterns_is_em_over_rows():
+    r = np.random.default_rng(5)
+    kinds = [quality.LABELLERS.index(x) for x in quality.SYMPTOMS]
+    truth = r.random(400) < 0.8
+    v = np.where(r.random((400, 8)) < 0.6, np.where(r.random((400, 8)) < 0.9, np.where(truth, 1, -1)[:, None], np.where(truth, -1, 1)[:, None]), 0).astype(np.int8)
+    numbers, counts = np.unique(quality.patterns(v), return_counts=True)
+    share, table, posterior = quality.estimate(numbers, counts.astype(float), rounds=3)
+    # The same three rounds, a row at a time.
+    beliefs = []
+    for row in v:
+        ill = [float(row[j] == -1) for j in kinds]
+        beliefs.append([0.1, *(0.9 * x / sum(ill) for x in ill)] if sum(ill) else [0.98, *[0.02 / len(kinds)] * len(kinds)])
+    for _ in range(3):
+        shares, tables = [], []
+        for c in range(len(kinds) + 1):
+            start = quality.PRIOR_GOOD if c == 0 else (1 - quality.PRIOR_GOOD) / len(kinds)
+            shares.append((sum(b[c] for b in beliefs) + 40 * start) / (len(v) + 40))
+            tables.append([])
+            for j in range(8):
+                yes, no = (50.0, 0.5) if c == 0 else (1.0, 19.0) if j == kinds[c - 1] else (8.0, 0.5)
+                good = sum(b[c] for b, row in zip(beliefs, v, strict=True) if row[j] == 1) + yes
+                bad = sum(b[c] for b, row in zip(beliefs, v, strict=True) if row[j] == -1) + no
+                tables[-1].append(good / (good + bad))
+        beliefs = []
+        for row in v:
+            p = [s * math.prod(t if x == 1 else 1 - t for t, x in zip(ts, row, strict=True) if x) for s, ts in zip(shares, tables, strict=True)]
+            beliefs.append([x / sum(p) for x in p])
+    assert np.allclose(share, shares) and np.allclose(table, tables)
+    assert np.allclose([posterior[int(k)] for k in quality.patterns(v)], [b[0] for b in beliefs])
+
+
+def test_scorer_training_ends_where_the_loss_is_flat():
+    r = np.random.default_rng(8)
+    x = r.random((300, 20)).astype(np.float32)
+    y = 1 / (1 + np.exp(-(x @ r.normal(size=20) * 3)))
+    w, b = quality.train(x, y)
+    mean, std = x.mean(axis=0), x.std(axis=0) + 0.01
+    z, inside = (x - mean) / std, w * std
+    gap = 1 / (1 + np.exp(-(x @ w + b))) - y
+    assert np.abs(z.T @ gap / 300 + 1e-3 * inside).max() < 2e-3 and abs(gap.mean()) < 1e-3
+
+
 # ------------------------------------------------------------------ language model
-def segmentations(word, pieces):
-    if not word:
-        return 1.0
-    return sum(p * segmentations(word[len(k):], pieces) for k, p in pieces.items() if word.startswith(k))
+def words_over(letters, most):
+    return [bytes(x) for n in range(1, most + 1) for x in itertools.product(letters, repeat=n)]
 
 
 def test_lattice_sums_all_segmentations():
-    pieces = {b" ": 0.05, b"a": 0.2, b"b": 0.15, b"ab": 0.1, b" a": 0.1, b"ba": 0.1, b" ab": 0.05}
-    end = 1 - sum(pieces.values())
-    model = lm.Lattice(list(pieces), np.log(list(pieces.values())), math.log(end))
+    r = np.random.default_rng(2)
+    pieces = [b" ", b"a", b"b", b"ab", b" a", b"ba", b" ab"]
+    model = lm._normalised(pieces, r.random(7), r.random(7) + 2, 0.7)
+    goes_on, stops = (dict(zip(pieces, np.exp(w))) for w in (model.log_open, model.log_last))
+    end = math.exp(model.log_end)
+
+    def total(rest):
+        return sum((stops[p] if p == rest else goes_on[p] * total(rest[len(p):])) for p in pieces if rest.startswith(p)) if rest else 0.0
+
     words = [b"a", b"abba", b"bab", b"aaaaaab", b"b" * 40]
-    got = np.exp(model.log_probability(words[:4]))
-    assert np.allclose(got, [segmentations(b" " + w, pieces) * end / (1 - end) for w in words[:4]])
-    assert np.isfinite(model.log_probability(words)).all()
-    counts = model.expected([b"ab"])
-    spans = sum(counts[i] * len(p) for i, p in enumerate(pieces))
-    assert math.isclose(spans, 3.0) and counts[-1] == 1  # every segmentation covers each byte once
+    got = np.exp(model.log_marginal(words[:4]))
+    assert np.allclose(got, [total(b" " + w) for w in words[:4]])
+    assert np.isfinite(model.log_marginal(words)).all()
+    # One of all words, or the end, has probability 1; so have all texts, which are any number of words and one end.
+    every = np.exp(model.log_marginal(words_over(b"ab", 12))).sum() + end
+    assert 0.995 < every < 1 + 1e-9
+    counts = model.expected([b"ab", b"abab"], np.array([1.0, 3.0]))
+    assert math.isclose(sum(counts[:, i].sum() * len(p) for i, p in enumerate(pieces)), 3 + 3 * 5)  # every byte is covered once
+    assert math.isclose(counts[1].sum(), 4)  # and every word has one last piece
 
 
 def test_lm(spark, docs):

@@ -28,7 +28,7 @@ def test_pipeline(spark, sf_dir):
             good = {r.doc_id for r in quality.score(docs, quality.fit(docs)).filter("kept").collect()}
             assert {r.doc_id for r in out.collect()} == good
         if name == "minhash":
-            near = minhash.near_duplicates(docs).collect()
+            near = minhash.near_duplicates(docs, corpus_pipeline.SHINGLE_WORDS).collect()
             assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in near if r.doc_id == r.component_id)
         if name == "pii":
             assert out.count() == docs.count()

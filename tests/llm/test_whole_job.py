@@ -60,18 +60,23 @@ def test_terms_far_from_their_entity_disclose_it(spark):
     assert texts[202] == "onlycopies alone" and texts[100] == dict(rows)[100]
 
 
-def test_lattice_takes_long_pieces():
-    ranks = {bytes([c]): c for c in range(256)} | {b" everything": 256, b" every": 257, b"thing": 258, b" " + b"x" * 40: 259}
-    model = lm.initial_lattice(ranks)
-    assert set(model.pieces) == set(ranks)
-    weight = dict(zip(model.pieces, np.exp(model.log_weights)))
+def every_way(text, pieces):
+    return [[text[:k], *rest] for k in range(1, len(text) + 1) if text[:k] in pieces for rest in every_way(text[k:], pieces)] if text else [[]]
 
-    def spelled(word):
-        return 1.0 if not word else sum(weight[word[:k]] * spelled(word[k:]) for k in range(1, len(word) + 1) if word[:k] in weight)
 
-    end = math.exp(model.log_end)
-    words = [b"everything", b"x" * 40, b"x" * 41, b"a", b""]
-    assert np.allclose(model.log_probability(words), [math.log(spelled(b" " + w) * end / (1 - end)) for w in words], rtol=1e-12)
+def way_weight(parts, goes_on, stops):
+    return math.prod(goes_on[p] for p in parts[:-1]) * stops[parts[-1]]
+
+
+def test_lattice_takes_long_pieces():
+    letters = [c for c in range(256) if not 65 <= c <= 90 and not 9 <= c <= 13]
+    ranks = {bytes([c]): c for c in letters} | {b" everything": 256, b" every": 257, b"thing": 258, b" " + b"x" * 40: 259}
+    model = lm.initial_lattice(ranks | {b"A": 300, b" a b": 301, b"\n": 302})
+    assert set(model.pieces) == set(ranks)  # no other piece can occur in a word
+    goes_on, stops = (dict(zip(model.pieces, np.exp(w))) for w in (model.log_open, model.log_last))
+    words = [b"everything", b"x" * 40, b"a"]
+    want = [sum(way_weight(w, goes_on, stops) for w in every_way(b" " + x, set(ranks))) for x in words]
+    assert np.allclose(model.log_marginal(words), np.log(want), rtol=1e-12)
 
 
 def test_lm_score_is_the_lattice_marginal(spark, tmp_path):
@@ -79,32 +84,29 @@ def test_lm_score_is_the_lattice_marginal(spark, tmp_path):
     ranks = {p: k for k, p in enumerate(pieces)}
     path = tmp_path / "own.tiktoken"
     path.write_bytes(b"".join(base64.b64encode(p) + b" %d\n" % k for p, k in ranks.items()))
-    rows = [(i, t) for i, t in enumerate(["abab ab", "AB  abba", "", "ba ab ab abab", "unseen words"] * 3)] + [(None, "abab")]
+    rows = [(i, t) for i, t in enumerate(["abab ab", "AB  abba", "", "ba ab ab abab", "unseen words", "x" * 50 + " ab"] * 3)] + [(None, "abab")]
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, x int")
     train = collections.Counter(w for i, t in rows if not lm.held_out(i) for w in lm._words(t))
     texts = sum(not lm.held_out(i) for i, _ in rows)
     model = lm.initial_lattice(ranks)
-    weight, end = dict(zip(model.pieces, np.exp(model.log_weights))), math.exp(model.log_end)
-
-    def segmentations(text):
-        return [[text[:k], *rest] for k in range(1, len(text) + 1) if text[:k] in weight for rest in segmentations(text[k:])] if text else [[]]
-
-    product = lambda parts: math.prod(weight[p] for p in parts)
-    for rounds in (0, 1):
+    goes_on, stops = (dict(zip(model.pieces, np.exp(w))) for w in (model.log_open, model.log_last))
+    end = math.exp(model.log_end)
+    for rounds in (0, 1, 2):
         if rounds:
-            fitted = collections.Counter({p: 0.1 for p in weight})
+            fitted = [dict.fromkeys(model.pieces, 0.1), {p: 0.1 * (p != b" ") for p in model.pieces}]
             for w, c in train.items():
-                ways = segmentations(b" " + w)
+                ways = every_way(b" " + w, goes_on)
+                whole = sum(way_weight(parts, goes_on, stops) for parts in ways)
                 for parts in ways:
-                    for p in parts:
-                        fitted[p] += c * product(parts) / sum(map(product, ways))
-            whole = sum(fitted.values()) + texts + 0.1
-            weight, end = {p: n / whole for p, n in fitted.items()}, (texts + 0.1) / whole
+                    for k, p in enumerate(parts):
+                        fitted[k == len(parts) - 1][p] += c * way_weight(parts, goes_on, stops) / whole
+            total = {f: sum(d[p] for d in fitted for p in model.pieces if p.startswith(b" ") == f) + f * (texts + 0.1) for f in (False, True)}
+            goes_on, stops = ({p: n / total[p.startswith(b" ")] for p, n in d.items()} for d in fitted)
+            end = (texts + 0.1) / total[True]
         for frequent in (2, 100):
             for r in lm.score_texts(df, str(path), rounds, frequent).join(df, "doc_id").collect():
-                text = b"".join(b" " + w for w in lm._words(r.text))
-                assert math.isclose(r.score, math.log10(sum(map(product, segmentations(text))) * end), rel_tol=1e-9), r
-                assert r.urn_score < 0
+                want = math.log10(end) + sum(math.log10(sum(way_weight(w, goes_on, stops) for w in every_way(b" " + x, goes_on))) for x in lm._words(r.text))
+                assert math.isclose(r.score, want, rel_tol=1e-9), r
 
 
 def test_event_windows_count_every_event(spark, sf_dir):
