@@ -78,10 +78,13 @@ def votes(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     last[:-1] = space[1:]
     last[offsets[1:][offsets[1:] > 0] - 1] = True
     last &= ~space
-    before = np.concatenate([[0], body[:-1]]) if len(body) else body
+    # What comes before a text's first byte is white space, not the end of the text before.
+    before = np.full(len(body), 0x20, np.uint8)
+    before[1:] = body[:-1]
+    before[offsets[:-1][offsets[:-1] < len(body)]] = 0x20
     ends = lambda chars: last & np.isin(body, np.frombuffer(chars, np.uint8))
     marks, shouts = _sums(ends(b".,;:!?"), offsets), _sums(ends(b"!") & (before == 0x21), offsets)
-    alone = _sums(ends(b"|*-=~#") & np.concatenate([[True], space[:-1]]), offsets) if len(body) else np.zeros(n, np.int64)
+    alone = _sums(ends(b"|*-=~#") & classes[3].astype(bool)[before], offsets)
     names = np.frombuffer(" ".join(FUNCTION_WORDS).encode(), np.uint8)
     known, _ = word_hashes(names, np.array([0, len(names)]))
     function = np.bincount(owner[np.isin(words, known)], minlength=n)
