@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import parse as P
+from shelfmark.plans.shared import shared_table
 
 STEPS = {"ram": 8.0, "storage": 128.0, "screen": 0.5}
 FEATURES = ("variant_sim", "group_sim", "axes_presence", "axes_consistency", "variant_size_norm", "group_size_norm", "screen_invalid_flag")
@@ -98,7 +99,20 @@ def features(df: DataFrame, weights: DataFrame) -> DataFrame:
     }).drop("_ram", "_storage", "_screen", "_vn", "_gn")
 
 
+def with_last_rows(df: DataFrame, weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``df`` and ``weights`` where each row has the axes, name and text of the last row with its product id, and its own groups."""
+    pid = F.coalesce(F.col("product_id").cast("string"), F.lit("None"))
+    last = df.groupBy(pid.alias("_pid")).agg(F.max("row_id").alias("_last"), F.count("*").alias("_n"))
+    if last.filter("_n > 1").isEmpty():
+        return df, weights
+    of = shared_table(df.select("row_id", pid.alias("_pid")).join(last.drop("_n"), "_pid").drop("_pid"), "last_rows")
+    values = ("axes", "name", "sub_category")
+    lasts = df.select(F.col("row_id").alias("_last"), *values)
+    own = df.drop(*values).join(of, "row_id").join(lasts, "_last").drop("_last")
+    return own, of.join(weights.withColumnRenamed("row_id", "_last"), "_last").drop("_last")
+
+
 def score(df: DataFrame, weights: DataFrame, w: Weights = Weights(), return_features: bool = False) -> DataFrame:
     """(product_id, group_id, variant_id, confidence, evidence), and the features if asked for."""
-    f = features(df, weights).withColumns({"confidence": F.round(confidence(w), 4), "evidence": evidence()})
+    f = features(*with_last_rows(df, weights)).withColumns({"confidence": F.round(confidence(w), 4), "evidence": evidence()})
     return f.select("product_id", "group_id", "variant_id", "confidence", "evidence", *(FEATURES if return_features else ()))

@@ -132,6 +132,21 @@ def test_modes_ties_and_gaps(spark):
     assert {r.k: r.mode for r in reports.safe_mode(df, "k", "v").collect()} == {"a": 2.5, "c": 10.0}
 
 
+def test_of_repeated_products_the_last_row_counts(spark):
+    from shelfmark.operators import scoring
+    from shelfmark.operators.axes import AXES
+
+    axes = lambda ram: {"config": {"ram_gb": ram}, "size": {"screen_inches": 15.0}}
+    rows = [(0, "p", "one", "laptop", "g", "v1", axes(8)), (1, "q", "two", "laptop", "g", "v1", axes(8)), (2, "p", "three", "laptop", "g", "v2", None), (3, None, "x", "tv", "h", "v3", axes(4))]
+    df = spark.createDataFrame(rows, f"row_id long, product_id string, name string, sub_category string, group_id string, variant_id string, axes {AXES}")
+    weights = spark.createDataFrame([(0, "a", 1.0), (1, "a", 1.0), (2, "b", 1.0), (3, "c", 1.0)], "row_id long, term string, weight double")
+    got = {(r.product_id, r.variant_id): r for r in scoring.score(df, weights, return_features=True).collect()}
+    assert len(got) == 4
+    assert got["p", "v1"].axes_presence == 0 and got["p", "v2"].axes_presence == 0 and got["q", "v1"].axes_presence == 0.4
+    # v1's members are the row of q and the last row of p, so its centroid lies between a and b.
+    assert got["p", "v1"].variant_sim == pytest.approx(math.sqrt(0.5)) and got["p", "v2"].variant_sim == 1.0
+
+
 def test_commands(spark, tmp_path, capsys):
     names = ["Laptop bundle with mouse and bag 2-pack", "Laptop 8GB RAM 256 GB", "TV @@ set of 2 mounts", None]
     path = tmp_path / "products.csv"
