@@ -44,13 +44,13 @@ from shelfmark.llm.textbytes import mix64
 from shelfmark.plans.shared import drop_shared, shared_table
 
 ROUNDS = 4
-#: Words sent along with the tasks, and the bytes that each may have: some 3 MB, and 4 MB at most.
-FREQUENT, FREQUENT_BYTES = 40_000, 32
+#: Words sent along with the tasks, and the bytes that each may have: some 8 MB, and 4 MB at most.
+FREQUENT, FREQUENT_BYTES = 100_000, 32
 FREQUENT_LONG, LONG_BYTES = 1000, 4096
 #: What every weight is worth beside the counts.
 SMOOTHING = 0.1
 #: Words that a task counts before it passes them on.
-COUNTED_AT_ONCE = 200_000
+COUNTED_AT_ONCE = 300_000
 #: Words that are looked up in the lattice at once.
 WORDS_AT_ONCE = 50_000
 #: Bits of a hash by which most strings that are no piece are told from pieces.
@@ -82,8 +82,11 @@ class Lattice:
             out[n] = h[order], np.array(numbers, np.int32)[order], some
         return out
 
-    def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places of words, piece at [word, end, length]) for words of one byte length at a time."""
+    def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, tuple[int, int, int], tuple[np.ndarray, ...]]]:
+        """(places of words, shape [word, end, length], arcs) for words of one byte length at a time.
+
+        Arcs are the pieces in those words: the word's number among them, the end and the length of the piece, and its number.
+        """
         tables = self.tables
         longest_piece = max(tables)
         by: dict[int, list[int]] = {}
@@ -94,11 +97,9 @@ class Lattice:
             at_once = max(1, (1 << 19) // (n * longest))
             for a in range(0, len(places), at_once):
                 some = places[a : a + at_once]
-                body = np.frombuffer(b"".join(b" " + words[i] for i in some), np.uint8).reshape(len(some), n)
-                none = len(self.pieces)
-                piece = np.full((len(some), n + 1, longest + 1), none, np.int32)
+                body = np.frombuffer(b"".join([b" " + words[i] for i in some]), np.uint8).reshape(len(some), n)
                 h = np.zeros((len(some), n), _U)
-                power = 1
+                power, arcs = 1, []
                 for length in range(1, longest + 1):
                     with np.errstate(over="ignore"):
                         h = h[:, : n - length + 1] + (body[:, length - 1 :].astype(_U) + _U(1)) * _U(power)
@@ -110,8 +111,8 @@ class Lattice:
                         mixed = mixed[at, start]
                         to = np.minimum(np.searchsorted(keys, mixed), len(keys) - 1)
                         hit = keys[to] == mixed
-                        piece[at[hit], start[hit] + length, length] = numbers[to[hit]]
-                yield np.array(some), piece
+                        arcs.append((at[hit], start[hit] + length, np.full(int(hit.sum()), length), numbers[to[hit]]))
+                yield np.array(some), (len(some), n + 1, longest + 1), tuple(map(np.concatenate, zip(*arcs, strict=True)))
 
     @staticmethod
     def forward(w: np.ndarray) -> np.ndarray:
@@ -130,41 +131,75 @@ class Lattice:
         n_words, ends, lengths = w.shape
         beta = np.full((n_words, ends + lengths - 1), -np.inf)
         beta[:, ends - 1] = 0.0
-        from_start = np.full(w.shape, -np.inf)
-        for length in range(1, min(lengths, ends)):
-            from_start[:, : ends - length, length] = w[:, length:, length]
+        from_start = _by_start(w, -np.inf)
         for i in range(ends - 2, -1, -1):
             beta[:, i] = _logsum(beta[:, i + 1 : i + lengths] + from_start[:, i, 1:])
         return beta[:, :ends]
 
-    def read(self, piece: np.ndarray) -> np.ndarray:
-        """The log weights of ``piece``, as ``batches`` numbers them; a piece that ends where its word does is its last."""
-        w = np.append(self.log_open, -np.inf)[piece]
-        w[:, -1] = np.append(self.log_last, -np.inf)[piece[:, -1]]
-        return w
+    def read(self, shape: tuple[int, int, int], arcs: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """The log weights of the arcs, and as [word, end, length]; a piece that ends where its word does is its last."""
+        at, end, length, number = arcs
+        logs = np.where(end == shape[1] - 1, self.log_last[number], self.log_open[number])
+        w = np.full(shape, -np.inf)
+        w[at, end, length] = logs
+        return logs, w
 
     def log_marginal(self, words: list[bytes]) -> np.ndarray:
         """Natural log of each word's sum over all segmentations."""
         out = np.zeros(len(words))
-        for places, piece in self.batches(words):
-            out[places] = self.forward(self.read(piece))[:, -1]
+        for places, shape, arcs in self.batches(words):
+            out[places] = self.forward(self.read(shape, arcs)[1])[:, -1]
         return out
 
     def expected(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
         """(2, pieces): how often each piece goes on and is last over all segmentations of words that come ``times``."""
         none = len(self.pieces)
         out = np.zeros((2, none))
-        for places, piece in self.batches(words):
-            at, end, length = np.nonzero(piece != none)
-            w = self.read(piece)
-            alpha, beta = self.forward(w), self.backward(w)
-            share = np.exp(alpha[at, end - length] + w[at, end, length] + beta[at, end] - alpha[at, -1]) * times[places][at]
-            found, last = piece[at, end, length], end == piece.shape[1] - 1
+        for places, shape, arcs in self.batches(words):
+            at, end, length, number = arcs
+            logs, w = self.read(shape, arcs)
+            share = _plain_shares(logs, w, arcs)
+            low = ~np.isfinite(share)
+            if low.any():  # sums too small for plain arithmetic
+                words_ = np.unique(at[low])
+                alpha, beta = self.forward(w[words_]), self.backward(w[words_])
+                mine = np.isin(at, words_)
+                k = np.searchsorted(words_, at[mine])
+                share[mine] = np.exp(alpha[k, end[mine] - length[mine]] + logs[mine] + beta[k, end[mine]] - alpha[k, -1])
+            share *= times[places][at]
+            last = end == shape[1] - 1
             for k, some in enumerate((~last, last)):
-                out[k] += np.bincount(found[some], weights=share[some], minlength=none)
+                out[k] += np.bincount(number[some], weights=share[some], minlength=none)
         return out
 
 
+def _by_start(w: np.ndarray, empty: float) -> np.ndarray:
+    """[word, end, length] as [word, start, length]."""
+    out = np.full(w.shape, empty)
+    for length in range(1, w.shape[2]):
+        out[:, : w.shape[1] - length, length] = w[:, length:, length]
+    return out
+
+
+def _plain_shares(logs: np.ndarray, w: np.ndarray, arcs: tuple[np.ndarray, ...]) -> np.ndarray:
+    """The share of its word's segmentations that each arc is in, by weight, from sums of plain products; nan in words whose sum is near the least of doubles."""
+    at, end, length, _ = arcs
+    n_words, ends, lengths = w.shape
+    w = np.exp(w)
+    alpha = np.zeros((n_words, lengths - 1 + ends))
+    alpha[:, lengths - 1] = 1.0
+    for j in range(1, ends):
+        alpha[:, lengths - 1 + j] = np.einsum("ij,ij->i", alpha[:, j : j + lengths - 1][:, ::-1], w[:, j, 1:])
+    beta = np.zeros((n_words, ends + lengths - 1))
+    beta[:, ends - 1] = 1.0
+    from_start = _by_start(w, 0.0)
+    for i in range(ends - 2, -1, -1):
+        beta[:, i] = np.einsum("ij,ij->i", beta[:, i + 1 : i + lengths], from_start[:, i, 1:])
+    whole = alpha[:, -1]
+    whole = np.where(whole > 1e-250, whole, np.nan)
+    return alpha[at, lengths - 1 + end - length] * np.exp(logs) * beta[at, end] / whole[at]
+
+
 _BASE = 0x9E3779B97F4A7C15
 
 
