@@ -139,7 +139,7 @@ def mentions(based: DataFrame, text: str, doc_id: str) -> DataFrame:
     value = F.when(F.col("s.kind").isin("card", "phone"), F.regexp_replace("s.value", "[^0-9]", "")).otherwise(F.lower("s.value"))
     return rows.select(
         "key", F.concat_ws(":", "s.kind", value).alias("entity"), F.array_sort(_terms(near)).alias("terms")
-    ).withColumn("context", F.xxhash64("terms"))
+    ).withColumn("context", F.md5(F.array_join("terms", " ")))
 
 
 def disclosing_terms(df: DataFrame, based: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = DISCLOSURE,
@@ -251,3 +251,55 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"cast(size(filter(_base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     terms = F.expr("cast(size(filter(spans, s -> s.kind = 'term')) as long)").alias("n_term")
     return rows.select("doc_id", *counts, F.sha2(_joined("_base"), 256).alias("base_sha256"), _joined("spans").alias("spans"), terms)
+
+
+def _oracle() -> str:
+    """DuckDB SQL of ``op1_pii``: its patterns need no look-around, and a term's spans are found among all words."""
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    word = r"[\p{L}\p{M}\p{N}]+"
+    # The matches of a pattern and the gaps between them, cut into rows with the code points before each.
+    cut = lambda p, columns, source: f"""SELECT {columns}, v, CAST(sum(len(gap) + len(v)) OVER (PARTITION BY rid ORDER BY i) - len(v) AS BIGINT) AS a FROM (
+      SELECT *, f[i] AS v, g[i] AS gap FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM (SELECT *, regexp_extract_all(t, '{p}') AS f, string_split_regex(t, '{p}') AS g FROM {source})))"""
+    near = "concat_ws(' | ', before, after)"
+    for p in plain.values():
+        near = f"regexp_replace({near}, '{p}', ' ', 'g')"
+    found = " UNION ALL ".join(cut(p, f"rid, t, {i} AS k, '{kind}' AS kind", "r") for i, (kind, p) in enumerate(plain.items()))
+    return rf"""
+WITH r AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({found}),
+dg AS (SELECT *, a + len(v) AS b, regexp_replace(v, '[^0-9]', '', 'g') AS d FROM s),
+base AS MATERIALIZED (SELECT * FROM dg WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: len(ltrim(x, '0')) > 3 OR coalesce(try_cast(ltrim(x, '0') AS INTEGER), 0) > 255)) = 0
+    WHEN 'card' THEN len(d) BETWEEN 13 AND 19 AND list_sum(list_transform(range(0, len(d)), lambda i: CASE WHEN i % 2 = 0 THEN CAST(d[len(d) - i] AS INTEGER)
+      ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][CAST(d[len(d) - i] AS INTEGER) + 1] END)) % 10 = 0
+    WHEN 'phone' THEN len(d) BETWEEN 9 AND 15 ELSE true END),
+around AS (SELECT rid, kind || ':' || CASE WHEN kind IN ('card', 'phone') THEN d ELSE lower(v) END AS entity,
+    CASE WHEN a > 100 THEN regexp_replace(substr(t, a - 99, 100), '^\S*', '') ELSE substr(t, 1, a) END AS before,
+    CASE WHEN len(substr(t, b + 1, 100)) = 100 THEN regexp_replace(substr(t, b + 1, 100), '\S*$', '') ELSE substr(t, b + 1, 100) END AS after FROM base),
+met AS MATERIALIZED (SELECT rid, entity, list_sort(list_distinct(regexp_extract_all(lower({near}), '{word}'))) AS terms FROM around),
+shown_at AS (SELECT *, md5(array_to_string(terms, ' ')) AS context FROM met),
+known AS MATERIALIZED (SELECT * FROM shown_at WHERE entity IN (SELECT entity FROM shown_at GROUP BY entity HAVING count(DISTINCT context) >= {MIN_CONTEXTS})),
+held AS (SELECT entity, rid, min(context) AS context FROM known GROUP BY 1, 2),
+words AS MATERIALIZED (SELECT rid, unnest(list_distinct(regexp_extract_all(lower(t), '{word}'))) AS term FROM r),
+n_t AS (SELECT term, count(*) AS n_t FROM words GROUP BY 1),
+n_c AS (SELECT entity, count(*) AS n_c FROM held GROUP BY 1),
+pairs AS MATERIALIZED (SELECT entity, term, context FROM held JOIN words USING (rid)),
+scored AS MATERIALIZED (SELECT entity, term FROM (SELECT entity, term, count(*) AS n_ct FROM pairs GROUP BY 1, 2) JOIN n_c USING (entity) JOIN n_t USING (term), (SELECT count(*) AS n FROM r)
+  WHERE n_c < n AND (log2(n_ct) + log2(n) - log2(n_c) - log2(n_t)) / (log2(n) - log2(n_c)) >= {DISCLOSURE} - 1e-12),
+evidence AS (SELECT entity, term, context FROM pairs UNION SELECT entity, unnest(terms), context FROM known),
+found AS MATERIALIZED (SELECT DISTINCT term FROM (SELECT entity, term FROM evidence JOIN scored USING (entity, term) GROUP BY 1, 2 HAVING count(DISTINCT context) >= {MIN_CONTEXTS})),
+holders AS (SELECT * FROM r WHERE rid IN (SELECT rid FROM words WHERE term IN (SELECT term FROM found))),
+w AS ({cut(word, "rid", "holders")}),
+terms AS (SELECT rid, a, a + len(v) AS b FROM w WHERE lower(v) IN (SELECT term FROM found)
+  AND NOT EXISTS (SELECT 1 FROM base WHERE base.rid = w.rid AND base.a < w.a + len(w.v) AND w.a < base.b)),
+spans AS (SELECT rid, k, kind, a, b FROM base UNION ALL SELECT rid, {len(KINDS)}, 'term', a, b FROM terms),
+of_row AS (SELECT rid, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*KINDS, "term"))},
+  string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (k < {len(KINDS)}) AS own, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS every FROM spans GROUP BY 1)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in (*KINDS, "term"))}, sha256(coalesce(own, '')) AS base_sha256, coalesce(every, '') AS spans FROM r LEFT JOIN of_row USING (rid)
+"""
+
+
+OP1_SQL = _oracle()

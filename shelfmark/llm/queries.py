@@ -1,7 +1,7 @@
 """Registry of the subpackage's queries and of the SQL twins that exist.
 
-op1 depends on spans, op8 on a tokenizer and op9 and op10 on a fitted model that SQL
-does not express; they are tested against brute force.
+op8 depends on a tokenizer and op9 and op10 on a fitted model that SQL does not
+express; they are tested against brute force.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from shelfmark.llm.embedding_dedup import OP4_SQL, op4_embedding_dedup
 from shelfmark.llm.lm import op10_lm
 from shelfmark.llm.minhash import OP5_SQL, op5_minhash
 from shelfmark.llm.mixing import OP3_SQL, op3_mixing
-from shelfmark.llm.pii import op1_pii
+from shelfmark.llm.pii import OP1_SQL, op1_pii
 from shelfmark.llm.quality import op9_quality
 from shelfmark.llm.sharding import OP7_SQL, op7_sharding
 from shelfmark.llm.topk import OP6_SQL, op6_topk
@@ -31,6 +31,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_pii": OP1_SQL,
     "op2_warc": OP2_SQL,
     "op3_mixing": OP3_SQL,
     "op4_embedding_dedup": OP4_SQL,

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -134,7 +135,7 @@ def disclosed_by(rows):
     return found
 
 
-def test_pii_terms_by_brute_force(spark):
+def test_pii_terms_by_brute_force(spark, tmp_path):
     r = random.Random(11)
     rows = [(i, f"{prose(900 + i, 6)} agent Zorblatt {prose(950 + i, 40)} zed@mail.org {prose(70 + i, 6)}") for i in range(12)]
     rows += [(20 + i, f"Xu {prose(300 + i, 60)} from 10.1.2.3 {prose(330 + i, 9)}") for i in range(8)]
@@ -153,6 +154,17 @@ def test_pii_terms_by_brute_force(spark):
         spans = [(m.start(), m.end(), want[m[0].lower()]) for m in bpe.regex.finditer(r"[\p{L}\p{M}\p{N}]+", g.text) if m[0].lower() in want]
         spans = [s for s in spans if not any(a < s[1] and s[0] < b for a, b in base)]
         assert [(s.start, s.end, s.replacement) for s in g.spans if s.kind == "term"] == spans, g.text
+    # The query and its SQL, with texts that name entities several times.
+    rows += [(300 + i, f"{rows[i][1]} {rows[-i][1]}") for i in range(30)] + [(400, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    twin = con.execute(pii.OP1_SQL)
+    names = [c[0] for c in twin.description]
+    want = collections.Counter(twin.fetchall())
+    out = pii.op1_pii(spark, str(tmp_path))
+    assert sorted(out.columns) == sorted(names) and collections.Counter(tuple(r[c] for c in names) for r in out.collect()) == want
+    assert sum(n * r[names.index("n_term")] for r, n in want.items()) > 30
 
 
 # ------------------------------------------------------------------ archives
