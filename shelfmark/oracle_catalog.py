@@ -246,6 +246,7 @@ ORACLE_SQL: dict[str, str] = {
     "sample_n": f"{E} SELECT product_id, name FROM e ORDER BY md5('42:' || product_id), product_id LIMIT 100",
     "schema_backfill": f"{E} SELECT product_id, '' AS category, '' AS model, brand FROM e",
     "json_parse_stats": f"{E} SELECT count(*) AS n_rows, count(*) FILTER (trim(details) <> '') AS n_details, count(*) FILTER (trim(details) <> '' AND NOT json_valid(details)) AS n_errors FROM e",
+    "text_nfkc": "SELECT doc_id, md5(nfc_normalize(text || ' fi A1 2 e' || chr(769))) AS text_md5 FROM documents",
     "text_strip_ctrl": r"SELECT page_id, md5(regexp_replace(regexp_replace(html, '[\x{200B}-\x{200D}\x{2060}\x{FEFF}\x{00AD}]', '', 'g'), '[\x{0000}-\x{001F}\x{007F}-\x{009F}]', ' ', 'g')) AS text_md5 FROM pages",
     "text_dehtml": f"SELECT page_id, md5(regexp_replace({_html}, '<[^>]+>', ' ', 'g')) AS text_md5 FROM pages",
     "text_punct": f"SELECT doc_id, md5(replace({_single}, chr(92), ' ')) AS text_md5 FROM documents",

@@ -18,6 +18,8 @@ from shelfmark.sources.catalog import catalog
 from shelfmark.sources.sinks import export_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: Compatibility forms of " fi A1 2 e" with a combining accent on the last.
+COMPATIBLE = " \ufb01 \uff21\uff11 \u00b2 e\u0301"
 #: Similarity threshold of the queries on the embeddings table.
 TAU = 0.30
 #: And of the grouping of the derived catalog, whose titles have few words in common.
@@ -138,7 +140,8 @@ def json_parse_stats(spark, d):
 # ---------------------------------------------------------------- text
 @query
 def text_nfkc(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.md5(T.nfkc(F.col("text"))).alias("text_md5"))
+    """Texts with some compatibility forms after them, which the tables themselves lack."""
+    return table(spark, d, "documents").select("doc_id", F.md5(T.nfkc(F.concat("text", F.lit(COMPATIBLE)))).alias("text_md5"))
 
 
 @query
