@@ -20,7 +20,7 @@ def table(spark, texts):
 
 
 def five_words(text):
-    w = text.lower().split()
+    w = text.encode().lower().split()  # A-Z and ASCII white space only
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
