@@ -81,3 +81,16 @@ def test_entry_survives_without_corpus_package(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'variant_counts' in q and 'pipeline' not in q and e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace as Some
+
+    from shelfmark.plans.shared import shared_dir
+
+    session = lambda master, named: Some(sparkContext=Some(master=master, getConf=lambda: Some(get=lambda _: named)))
+    assert shared_dir(session("local[8]", None)).startswith("file:")
+    assert shared_dir(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master, None))
