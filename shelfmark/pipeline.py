@@ -18,6 +18,7 @@ def run_frames(products: DataFrame, threshold: float = 0.82, vector: str | None
     """All results of a run over enriched products."""
     parsed = axes.parsed(products)
     if impute:
+        parsed = shared_table(parsed, "parsed")  # read by the vectors, the models and their guesses
         parsed = models.AxisModeler().fit(parsed).transform(parsed)
     rows = shared_table(axes.with_axes(parsed), "axes")
     grouped, groups = grouping.group_products(rows, threshold, vector)
