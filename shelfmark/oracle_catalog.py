@@ -184,7 +184,7 @@ D = rf"""{F_}, fl AS (
     - 20 * implausible_storage - 10 * screen_out_of_range - CASE WHEN known < 0.5 THEN 10 WHEN known < 0.7 THEN 5 ELSE 0 END)) AS DOUBLE) AS dq_score FROM fl
 )"""
 _DQ_COLUMNS = ("dq_score", "confidence", "missing_brand", "missing_axes_config", "missing_screen", "weird_title_chars", "implausible_ram", "implausible_storage", "screen_out_of_range")
-_cohort = lambda k: f"{D} SELECT {k}, " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in _DQ_COLUMNS) + f" FROM dq GROUP BY {k}"
+_cohort = lambda k: f"{D} SELECT {k}, " + ", ".join(f"round(avg({c}) + 1e-9, 6) AS {c}" for c in _DQ_COLUMNS) + f" FROM dq GROUP BY {k}"
 
 _UNIT = """u AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS u FROM embeddings)"""
 _LINKS = f"""{_UNIT}, links AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_inner_product(a.u, b.u) AS sim FROM u a JOIN u b ON a.label = b.label AND a.vec_id < b.vec_id
