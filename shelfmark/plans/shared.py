@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,16 @@ def shared_table(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
+def only_result(make: Callable[[], DataFrame], name: str = "table") -> DataFrame:
+    """:func:`shared_table` of what ``make`` gives; all other tables that it took are deleted then."""
+    before = {path for _, path in _made}
+    out = shared_table(make(), name)
+    for spark, path in [m for m in _made if m[1] not in before and m[1] != out._shelfmark_path]:
+        delete_path(spark, path)
+        _made.remove((spark, path))
+    return out
+
+
 def table_path(table: DataFrame) -> str:
     """Where the table is that :func:`shared_table` wrote."""
     return table._shelfmark_path
