@@ -250,7 +250,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_spans(docs)
     counts = [F.expr(f"cast(size(filter(_base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     terms = F.expr("cast(size(filter(spans, s -> s.kind = 'term')) as long)").alias("n_term")
-    return rows.select("doc_id", *counts, F.sha2(_joined("_base"), 256).alias("base_sha256"), _joined("spans").alias("spans"), terms)
+    every = F.size("spans").cast("long").alias("n_spans")
+    return rows.select("doc_id", *counts, F.sha2(_joined("_base"), 256).alias("base_sha256"), _joined("spans").alias("spans"), terms, every)
 
 
 def _oracle() -> str:
@@ -296,9 +297,9 @@ w AS ({cut(word, "rid", "holders")}),
 terms AS (SELECT rid, a, a + len(v) AS b FROM w WHERE lower(v) IN (SELECT term FROM found)
   AND NOT EXISTS (SELECT 1 FROM base WHERE base.rid = w.rid AND base.a < w.a + len(w.v) AND w.a < base.b)),
 spans AS (SELECT rid, k, kind, a, b FROM base UNION ALL SELECT rid, {len(KINDS)}, 'term', a, b FROM terms),
-of_row AS (SELECT rid, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*KINDS, "term"))},
+of_row AS (SELECT rid, count(*) AS n, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*KINDS, "term"))},
   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) FILTER (k < {len(KINDS)}) AS own, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY k, a) AS every FROM spans GROUP BY 1)
-SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in (*KINDS, "term"))}, sha256(coalesce(own, '')) AS base_sha256, coalesce(every, '') AS spans FROM r LEFT JOIN of_row USING (rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in (*KINDS, "term"))}, sha256(coalesce(own, '')) AS base_sha256, coalesce(every, '') AS spans, coalesce(n, 0) AS n_spans FROM r LEFT JOIN of_row USING (rid)
 """
 
 

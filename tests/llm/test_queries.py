@@ -10,6 +10,8 @@ from test_whole_job import five_words
 import corpus_pipeline
 from shelfmark.llm import bpe, quality
 from shelfmark.llm.queries import ORACLE_SQL, QUERIES
+from shelfmark.plans import shared
+from shelfmark.plans.shared import shared_table
 
 
 def test_twins(spark, sf_dir):
@@ -66,7 +68,7 @@ def test_pipeline(spark, sf_dir):
     assert [s for s, _ in corpus_pipeline.STAGES] == ["quality", "minhash", "pii", "mixing", "bpe"]
     enc = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=bpe.load_ranks(bpe.default_vocabulary()), special_tokens={})
     for name, stage in corpus_pipeline.STAGES:
-        out = corpus_pipeline.shared_table(stage(spark, docs, sf_dir), "test_stage")
+        out = shared_table(stage(spark, docs, sf_dir), "test_stage")
         assert name == "bpe" or out.columns == corpus_pipeline.COLUMNS
         before, rows = docs.collect(), out.collect()
         texts = {r.doc_id: r.text for r in before}
@@ -92,3 +94,13 @@ def test_pipeline(spark, sf_dir):
                 (r.doc_id, len(ids), tuple(ids)) for r in before for ids in [enc.encode_ordinary(r.text or "")]
             )
         docs = out
+
+
+def test_run_is_all_stages_and_leaves_one_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = shared_table(stage(spark, docs, sf_dir), "test_stage")
+    before = {path for _, path in shared._made}
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert {path for _, path in shared._made} - before == {shared.table_path(out)}
+    assert collections.Counter((r.doc_id, tuple(r.ids)) for r in out.collect()) == collections.Counter((r.doc_id, tuple(r.ids)) for r in docs.collect())
