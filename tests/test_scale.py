@@ -1,8 +1,13 @@
 """Plans that must stay whole and bounded on larger tables."""
 
+import math
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import axes
+from shelfmark.operators import axes, tiles
 from shelfmark.sources import catalog as source
 from shelfmark.sources import products as feed
 
@@ -16,3 +21,81 @@ def test_parsing_is_dealt_out_under_filters_too(spark, monkeypatch):
     sizes = parsed.select("p_cpu").rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
     assert len([n for n in sizes if n]) > 2 and max(sizes) < sum(sizes) / 2
     assert {tuple(r) for r in rows.collect()} == whole
+
+
+def closure(n, edges):
+    part = list(range(n))
+
+    def root(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for a, b in edges:
+        part[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(i) for i in range(n)]
+
+
+def sparse_rows(n):
+    r = random.Random(4)
+    rows = []
+    for _ in range(n):
+        w = {f"t{r.randrange(60)}": r.random() for _ in range(r.randrange(1, 5))}
+        length = math.sqrt(sum(x * x for x in w.values()))
+        rows.append({t: x / length for t, x in w.items()})
+    return rows
+
+
+def dot(a, b):
+    return sum(x * b.get(t, 0.0) for t, x in a.items())
+
+
+@pytest.mark.parametrize(("least", "terms"), [(0.5, 4096), (0.9, 7), (0.999, 4096)])
+def test_forests_connect_what_links_connect_and_are_linear(monkeypatch, least, terms):
+    monkeypatch.setattr(tiles, "BATCH", 5)
+    monkeypatch.setattr(tiles, "TERMS", terms)
+    rows = sparse_rows(90)
+    m = tiles.Sparse([list(w) for w in rows], [list(w.values()) for w in rows])
+    for left, right in ((np.arange(90), None), (np.arange(0, 90, 3), np.setdiff1d(np.arange(90), np.arange(0, 90, 3)))):
+        side = lambda i: right is None or i % 3 == 0  # noqa: B023, E731
+        want = [(a, b) for a in range(90) for b in range(a) if (right is None or side(a) != side(b)) and dot(rows[a], rows[b]) >= least]
+        got = list(tiles.forest(m, left, right, least))
+        assert closure(90, got) == closure(90, want) and len(got) < 90
+        assert all(dot(rows[a], rows[b]) >= least - 1e-9 for a, b in got)
+
+
+def test_blocks_of_many_tiles_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "DENSE_ROWS", 40)
+    monkeypatch.setattr(tiles, "SPARSE_ROWS", 40)
+    r = np.random.default_rng(1)
+    v = r.normal(size=(300, 6))
+    v[7] = 0
+    data = [(i, i % 2, [float(x) for x in v[i]]) for i in range(300)] + [(300, 0, None), (301, None, [1.0] * 6), (302, 0, [1.0] * 5), (303, 0, [1.0, None] * 3)]
+    df = spark.createDataFrame(data, "vec_id long, b int, v array<double>")
+    with np.errstate(all="ignore"):
+        u = np.nan_to_num(v / np.linalg.norm(v, axis=1, keepdims=True))
+    want = {(a, b): u[a] @ u[b] for a in range(300) for b in range(a + 1, 300) if a % 2 == b % 2 and u[a] @ u[b] >= 0.8}
+    rows = tiles.links(df, "vec_id", ["b"], 0.8, "v").collect()
+    assert len(rows) == len(want) and {(x.src, x.dst) for x in rows} == set(want)
+    assert all(x.sim == pytest.approx(want[x.src, x.dst]) for x in rows)
+    some = [(x.src, x.dst) for x in tiles.links(df, "vec_id", ["b"], 0.8, "v", connecting=True).collect()]
+    assert closure(300, some) == closure(300, want) and len(some) < len(want)
+    rows = sparse_rows(150)
+    df = spark.createDataFrame([(i, 0, list(w), list(w.values())) for i, w in enumerate(rows)], "row_id long, b int, terms array<string>, weights array<double>")
+    some = [(x.src, x.dst) for x in tiles.links(df, "row_id", ["b"], 0.7, connecting=True).collect()]
+    assert closure(150, some) == closure(150, [(a, b) for a in range(150) for b in range(a) if dot(rows[a], rows[b]) >= 0.7])
+
+
+def test_large_cohorts_are_summed_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "COHORT_ROWS", 20)
+    rows = sparse_rows(120)
+    df = spark.createDataFrame([(i, "big" if i < 90 else f"k{i % 3}", list(w), list(w.values()), 1 + i % 2) for i, w in enumerate(rows)], "row_id long, key string, terms array<string>, weights array<double>, n int")
+    got = {x.row_id: x.sim for x in tiles.to_centroids(df, "row_id", "key", F.col("n")).collect()}
+    assert len(got) == 120
+    for members in (range(90), *[[i for i in range(90, 120) if i % 3 == k] for k in range(3)]):
+        c = {}
+        for i in members:
+            for t, x in rows[i].items():
+                c[t] = c.get(t, 0.0) + x * (1 + i % 2)
+        n = math.sqrt(dot(c, c))
+        assert all(got[i] == pytest.approx(dot(rows[i], c) / n) for i in members)
