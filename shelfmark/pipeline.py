@@ -24,7 +24,7 @@ def run_frames(products: DataFrame, threshold: float = 0.82, vector: str | None
     grouped, groups = grouping.group_products(rows, threshold, vector)
     grouped = shared_table(grouped, "grouped")
     with_ids, records = variants.build_variants(grouped)
-    weights = shared_table(vectors.tfidf(with_ids, "row_id", "ml_text"), "text_weights")
+    weights = vectors.packed_tfidf(with_ids, "row_id", "ml_text")
     scored = shared_table(scoring.score(with_ids, weights, return_features=return_features), "scored")
     return {
         "products": with_ids, "product_groups": reports.product_groups(with_ids, groups), "variants": records,

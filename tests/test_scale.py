@@ -99,3 +99,41 @@ def test_large_cohorts_are_summed_in_parts(spark, monkeypatch):
                 c[t] = c.get(t, 0.0) + x * (1 + i % 2)
         n = math.sqrt(dot(c, c))
         assert all(got[i] == pytest.approx(dot(rows[i], c) / n) for i in members)
+
+
+def test_only_results_stay_on_disk(spark, monkeypatch):
+    from shelfmark import queries_catalog as q
+    from shelfmark.plans import shared
+
+    monkeypatch.setattr(q, "_prepared", {})
+    source.catalog(spark, "/root/testdata/sf0.001")
+    before = {path for _, path in shared._made}
+    q.featured(spark, "/root/testdata/sf0.001")
+    left = [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for _, path in shared._made if path not in before]
+    assert sorted(left) == ["featured", "grouped", "groups"]
+
+
+def test_weights_are_written_as_numbers(spark):
+    from shelfmark.operators import vectors
+
+    texts = spark.createDataFrame([(0, "red lamp red"), (1, "red lamp"), (2, "blue lamp"), (3, None)], "row_id long, t string")
+    got = {r.row_id: r for r in vectors.packed_tfidf(texts, "row_id", "t", 1, 1.0).collect()}
+    want = {}
+    for r in vectors.tfidf(texts, "row_id", "t", 1, 1.0).collect():
+        want.setdefault(r.row_id, []).append(r.weight)
+    assert got.keys() == want.keys()
+    for i, r in got.items():
+        assert all(isinstance(t, int) for t in r.terms)
+        w = np.array(r.weights)
+        assert sorted(w / np.sqrt((w * w).sum())) == pytest.approx(sorted(want[i]))
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_runs_that_end_in_a_batch_come_at_once(size):
+    import pandas as pd
+
+    keys = [f"k{i:02}" for i in range(20) for _ in range(1 + 9 * (i % 7 == 3))]
+    rows = pd.DataFrame({"k": keys, "n": range(len(keys))})
+    got = list(tiles.whole_runs((rows.iloc[i : i + size] for i in range(0, len(rows), size)), "k"))
+    assert pd.concat(got)["n"].tolist() == list(range(len(keys)))
+    assert [k for g in got for k in g["k"].unique()] == sorted(set(keys)) and len(got) <= 2 + len(rows) // size
