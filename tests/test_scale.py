@@ -137,3 +137,29 @@ def test_runs_that_end_in_a_batch_come_at_once(size):
     got = list(tiles.whole_runs((rows.iloc[i : i + size] for i in range(0, len(rows), size)), "k"))
     assert pd.concat(got)["n"].tolist() == list(range(len(keys)))
     assert [k for g in got for k in g["k"].unique()] == sorted(set(keys)) and len(got) <= 2 + len(rows) // size
+
+
+def test_compatibility_forms_are_made_of_pieces(spark, monkeypatch):
+    import unicodedata
+
+    from shelfmark.functions import text as T
+
+    texts = ["", "plain", "éá", "́x", "ﬁ Ａ１ ² é", "a¨b̈́ c", "한 ẍ̣", "\U0001d400z\n①", None, "x\u0000é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.n for r in df.select("i", T.nfkc(F.col("t")).alias("n")).collect()}
+    assert got == {i: None if t is None else unicodedata.normalize("NFKC", t) for i, t in enumerate(texts)}
+    sent = df.select(F.regexp_extract_all("t", F.lit(T.FOREIGN), F.lit(0)).alias("p")).collect()
+    assert sent[1].p == [] and sent[4].p == [" ".join(["ﬁ"]), " Ａ１", " ²", "é"]  # not the whole text
+
+
+def test_models_learn_from_a_partition_a_core(spark, monkeypatch):
+    from shelfmark.operators import models
+
+    seen, fit = [], models.LogisticRegression.fit
+    monkeypatch.setattr(models.LogisticRegression, "fit", lambda self, rows: (seen.append(rows.rdd.getNumPartitions()), fit(self, rows))[1])
+    df = spark.createDataFrame([(i, f"kind k{i % 2} item", f"y{i % 2}") for i in range(80)], "row_id long, ml_text string, y string").repartition(60)
+    vectors = models.TextVectors(places=64).fit(df).transform(df)
+    rows = df.join(F.broadcast(vectors), "row_id")
+    assert rows.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    models.TextClassifier().fit(rows, "y")
+    assert seen and max(seen) <= spark.sparkContext.defaultParallelism
