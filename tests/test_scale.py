@@ -163,3 +163,18 @@ def test_models_learn_from_a_partition_a_core(spark, monkeypatch):
     assert rows.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
     models.TextClassifier().fit(rows, "y")
     assert seen and max(seen) <= spark.sparkContext.defaultParallelism
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_vectors_are_not_shuffled_to_be_marked(spark):
+    df = spark.createDataFrame([(i, i % 2, ["a", "b"], [1.0, 2.0]) for i in range(9)], "row_id long, b int, terms array<string>, weights array<double>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for found in (tiles.links(df, "row_id", ["b"], 0.5), tiles.to_centroids(df, "row_id", "b")):
+            assert "SortMergeJoin" not in plan_of(found)[1] and found.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
