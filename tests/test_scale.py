@@ -178,3 +178,28 @@ def test_vectors_are_not_shuffled_to_be_marked(spark):
             assert "SortMergeJoin" not in plan_of(found)[1] and found.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_forms_are_sent_as_texts_not_lists(spark):
+    from shelfmark.functions import text as T
+
+    df = spark.createDataFrame([("é",)], "t string")
+    assert "array_join(regexp_extract_all" in plan_of(df.select(T.nfkc(F.col("t"))))[0]
+
+
+def test_the_probe_is_computed_once(spark):
+    from shelfmark.operators import bundles
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(i):
+        seen.add(1)
+        return float(i % 5)
+
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(200)], "i long, product_id string").withColumn("bundle_score", score("i"))
+    got = bundles.non_bundle_sample(rows, 7).collect()
+    assert len(got) == 7 and all(r.bundle_score <= 1 for r in got) and seen.value == 200
+    found = spark.createDataFrame([(1, "a mouse pad and usb"), (2, "none"), (3, None)], "i int, t string").withColumn("found", F.split("t", " "))
+    counts = bundles.accessory_term_counts(found)
+    assert "size(" not in plan_of(counts)[0] and {r.term: r["count"] for r in counts.collect()} == {w: 1 for w in "a mouse pad and usb none".split()}
