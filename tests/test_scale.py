@@ -203,3 +203,14 @@ def test_the_probe_is_computed_once(spark):
     found = spark.createDataFrame([(1, "a mouse pad and usb"), (2, "none"), (3, None)], "i int, t string").withColumn("found", F.split("t", " "))
     counts = bundles.accessory_term_counts(found)
     assert "size(" not in plan_of(counts)[0] and {r.term: r["count"] for r in counts.collect()} == {w: 1 for w in "a mouse pad and usb none".split()}
+
+
+def test_titles_are_searched_once_for_a_pattern(spark):
+    rows = axes.parsed(feed.enrich(source.catalog(spark, "/root/testdata/sf0.001"), clean=False))
+    labels = axes.label_index(rows, "p_cpu")
+    plan = plan_of(labels)[0]
+    assert plan.count("bryzen") <= 4 and "isnotnull(coalesce" not in plan  # the test, the family, the model or none
+    assert labels.filter("label is null").isEmpty() and [r["index"] for r in labels.orderBy("index").collect()] == list(range(labels.count()))
+    from shelfmark.operators import grouping
+
+    assert plan_of(rows.select(grouping.base_group_id(F.col("brand"), F.col("name"))))[0].count('[^a-z0-9" ]+') == 1
