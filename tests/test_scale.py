@@ -214,3 +214,31 @@ def test_titles_are_searched_once_for_a_pattern(spark):
     from shelfmark.operators import grouping
 
     assert plan_of(rows.select(grouping.base_group_id(F.col("brand"), F.col("name")).alias("g")))[0].count('[^a-z0-9" ]+') == 1
+
+
+def test_pairs_of_rows_and_terms_are_not_shuffled(spark, monkeypatch):
+    from shelfmark.operators import vectors
+
+    monkeypatch.setattr(vectors, "TASK_CHARS", 40)
+    r = random.Random(3)
+    texts = {i: " ".join(r.choice(["red", "blue", "élan", "x1", "lamp", "a"]) for _ in range(r.randrange(12))) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "row_id long, t string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = vectors.tfidf(docs, "row_id", "t", 3, 0.9)
+        counts = vectors.term_counts(docs, "row_id", "t")
+        assert counts._chunks > 8
+        for df in (found, vectors.chunk_frequencies(counts, 60)):
+            assert plan_of(df)[1].count("Exchange ") == 2 and "SortMergeJoin" not in plan_of(df)[1]
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    words = {i: [w for w in t.split() if len(w) > 1] for i, t in texts.items()}
+    grams = {i: w + [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)] for i, w in words.items()}
+    df = {t: sum(t in g for g in grams.values()) for g in grams.values() for t in g}
+    want = {}
+    for i, g in grams.items():
+        w = {t: (1 + math.log(g.count(t))) * (math.log(61 / (1 + df[t])) + 1) for t in set(g) if 3 <= df[t] <= 54}
+        want |= {(i, t): x / math.sqrt(sum(y * y for y in w.values())) for t, x in w.items()}
+    assert {(x.row_id, x.term): x.weight for x in rows} == pytest.approx(want) and len(rows) == len(want)
