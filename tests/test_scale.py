@@ -226,8 +226,8 @@ def test_pairs_of_rows_and_terms_are_not_shuffled(spark, monkeypatch):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        found = vectors.tfidf(docs, "row_id", "t", 3, 0.9)
-        counts = vectors.term_counts(docs, "row_id", "t")
+        found = vectors.tfidf(docs, "row_id", "t", 3, 0.9, large=True)
+        counts = vectors.term_counts(docs, "row_id", "t", large=True)
         assert counts._chunks > 8
         for df in (found, vectors.chunk_frequencies(counts, 60)):
             assert plan_of(df)[1].count("Exchange ") == 2 and "SortMergeJoin" not in plan_of(df)[1]
