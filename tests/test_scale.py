@@ -242,3 +242,20 @@ def test_pairs_of_rows_and_terms_are_not_shuffled(spark, monkeypatch):
         w = {t: (1 + math.log(g.count(t))) * (math.log(61 / (1 + df[t])) + 1) for t in set(g) if 3 <= df[t] <= 54}
         want |= {(i, t): x / math.sqrt(sum(y * y for y in w.values())) for t, x in w.items()}
     assert {(x.row_id, x.term): x.weight for x in rows} == pytest.approx(want) and len(rows) == len(want)
+
+
+def test_patterns_are_searched_only_where_their_letters_are(spark):
+    import re
+
+    from shelfmark.operators import bundles
+
+    texts = ["mouse pad w/ usb drive", "mousepads & pens", "set of 3 x4 2-pack 5pk", "includes a kit + combo", "include set with bundled packages", "", None, "box x 2 sd cards, sd card"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, name string")
+    rows = rows.selectExpr("*", "'' as brief_description", "cast(map() as map<string,string>) as specs", "cast(array() as array<struct<key:string,value:string>>) as spec_entries")
+    probed = bundles.probe(rows, ("gizmo",))
+    assert plan_of(probed.select("evidence_multipack"))[0].lower().count("contains(") >= 4
+    for r in probed.collect():
+        t = r.name or ""
+        assert r.evidence_accessories == ", ".join(w for w in sorted(bundles.PROBE_LEXICON) if re.search(rf"\b{w}\b", t))
+        assert r.evidence_triggers == ", ".join(n for n, p in sorted(bundles.TRIGGERS.items()) if re.search(p, t))
+        assert r.evidence_multipack == ", ".join(f"{p}:{n}" for p in bundles.MULTIPACKS for n in re.findall(p, t))
